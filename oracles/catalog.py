@@ -1,5 +1,5 @@
 """All oracle statements."""
 
-from oracles import analyses
+from oracles import analyses, basics
 
-ORACLES = {**analyses.ORACLES}
+ORACLES = {**basics.ORACLES, **analyses.ORACLES}

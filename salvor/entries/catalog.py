@@ -1,5 +1,5 @@
 """All registered queries."""
 
-from salvor.entries import analyses
+from salvor.entries import analyses, basics
 
-QUERIES = {**analyses.QUERIES}
+QUERIES = {**basics.QUERIES, **analyses.QUERIES}
