@@ -1,5 +1,5 @@
 """All oracle statements."""
 
-from oracles import analyses, basics
+from oracles import analyses, basics, features
 
-ORACLES = {**basics.ORACLES, **analyses.ORACLES}
+ORACLES = {**basics.ORACLES, **analyses.ORACLES, **features.ORACLES}

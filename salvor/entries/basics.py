@@ -13,7 +13,8 @@ from salvor.operators import analysis as A
 from salvor.operators import normalize as N
 from salvor.operators import ordering as O
 from salvor.operators import quality as Q
-from salvor.operators.features import SELECTED, fit, transform
+from salvor.entries.features import engineered
+from salvor.operators.features import SELECTED
 from salvor.plans import accidents, claims, drivers, policyholders, vehicles
 from salvor.session import scratch
 from salvor.sources import files, warehouse
@@ -185,10 +186,6 @@ def spelled_flags(s):
     return s.claim.select("claim_number", spelled.alias("spelled")).withColumn("witness", X.to_bool("spelled"))
 
 
-def engineered(s):
-    return transform(s.wide, fit(s.wide))
-
-
 QUERIES |= {f"nrm03_{name}": partial(_dimension, name=name) for name in S.DIMENSION_KEYS}
 QUERIES |= {
     "nrm01": lambda s: N.strip_all(s.wide_text).select(

@@ -1,5 +1,5 @@
 """All registered queries."""
 
-from salvor.entries import analyses, basics
+from salvor.entries import analyses, basics, features
 
-QUERIES = {**basics.QUERIES, **analyses.QUERIES}
+QUERIES = {**basics.QUERIES, **analyses.QUERIES, **features.QUERIES}

@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salvor.functions.scalars import clip, flag, matches, num, zero_pad
+from salvor.functions.scalars import clip, num
 from salvor.operators.normalize import pick
 from salvor.operators.ordering import exact_quantiles
+from salvor.operators.sizes import beside
 
 C = F.col
 MONEY = ("annual_income", "vehicle_price", "vehicle_weight", "claim_est_payout")
@@ -97,250 +98,211 @@ def fit(df: DataFrame) -> DataFrame:
     )
 
 
-def _as_struct(row: DataFrame) -> Column:
-    return row.select(F.struct("*").alias("_row")).scalar()
-
-
 def high_marks(df: DataFrame, artifacts: DataFrame) -> DataFrame:
     """One row: the frame's own 0.75 quantile of mileage and of the capped money columns."""
-    art = C("_art")
     value = C("value")
     for column in HIGH_FLAGS:
         here = C("column") == column
         if column == "vehicle_mileage":
-            filled = F.coalesce("value", art["mileage_median"])
+            filled = F.coalesce("value", "mileage_median")
         else:
-            filled = clip(
-                F.coalesce("value", art[f"{column}_med"]), art[f"{column}_p01"], art[f"{column}_p99"]
-            )
+            filled = clip(F.coalesce("value", f"{column}_med"), C(f"{column}_p01"), C(f"{column}_p99"))
         value = F.when(here, filled).otherwise(value)
     capped = (
-        _value_counts(df)
-        .withColumn("_art", _as_struct(artifacts))
+        beside(_value_counts(df), artifacts)
         .select("column", value.alias("value"), "n")
         .groupBy("column", "value")
         .agg(F.sum("n").alias("n"))
     )
     marks = exact_quantiles(capped.filter("value is not null"), "value", [0.75], by=["column"])
-    return marks.agg(*[F.max(F.when(C("column") == c, C("q")[0])).alias(c) for c in HIGH_FLAGS])
-
-
-# --- row-local groups --------------------------------------------------------
-
-
-def time_columns() -> dict[str, Column]:
-    date = C("claim_date").try_cast("timestamp_ntz")
-    month, hour, dow = F.month(date), F.hour(date), F.weekday(date)
-    return {
-        "claim_date": date,
-        "claim_year": F.year(date),
-        "claim_month": month,
-        "claim_dow": dow,
-        "claim_hour": hour,
-        "claim_day": F.dayofmonth(date),
-        "is_weekend": flag(dow >= 5),
-        "is_weekday": flag(dow < 5),
-        "is_morning": flag(hour.between(6, 11)),
-        "is_afternoon": flag(hour.between(12, 17)),
-        "is_evening": flag(hour.between(18, 21)),
-        "is_night": flag((hour >= 22) | (hour < 6)),
-        "is_rush_hour": flag(hour.between(7, 9) | hour.between(16, 19)),
-        "claim_quarter": F.quarter(date),
-        "is_winter": flag(month.isin(12, 1, 2)),
-        "is_summer": flag(month.isin(6, 7, 8)),
-    }
-
-
-def _number_columns() -> dict[str, Column]:
-    """Raw numbers with their defaults; later groups build on these."""
-    return {
-        "year_of_born": num("year_of_born", 1980),
-        "age_of_DL": num("age_of_DL", 25),
-        "past_num_of_claims": num("past_num_of_claims", 0),
-        "safety_rating": num("safety_rating", 50),
-        "liab_prct": clip(num("liab_prct", 0), 0.0, 100.0),
-    }
-
-
-def demographic_columns() -> dict[str, Column]:
-    age, driven = C("age_at_claim"), C("period_of_driving")
-    return {
-        "is_young_driver": flag(age < 25),
-        "is_senior_driver": flag(age >= 65),
-        "is_mid_age_driver": flag((age >= 25) & (age < 65)),
-        "is_new_driver": flag(driven < 3),
-        "is_experienced": flag(driven >= 10),
-    }
-
-
-def claim_history_columns() -> dict[str, Column]:
-    past = C("past_num_of_claims")
-    return {
-        "claims_per_year": past / (C("period_of_driving") + 1),
-        "has_past_claims": flag(past > 0),
-        "has_multiple_claims": flag(past >= 2),
-    }
-
-
-def liability_columns() -> dict[str, Column]:
-    liab = C("liab_prct")
-    inverse = 100 - liab
-
-    def above(low: int, high: int) -> Column:
-        return flag((liab > low) & (liab <= high))
-
-    return {
-        "liab_0_10": flag(liab <= 10),
-        "liab_10_20": above(10, 20),
-        "liab_20_30": above(20, 30),
-        "liab_30_40": above(30, 40),
-        "liab_40_plus": flag(liab > 40),
-        **{f"liab_{i}_{i + 5}": above(i, i + 5) for i in range(0, 100, 5)},
-        **{f"liab_exactly_{v}": flag(liab == v) for v in EXACT_LIABILITY},
-        "liab_squared": liab * liab,
-        "liab_cubed": liab * liab * liab,
-        "liab_sqrt": F.sqrt(liab),
-        "liab_inverse": inverse,
-        "liab_inverse_sq": inverse * inverse,
-        "liab_log": F.log1p(liab),
-        "liab_zero": flag(liab == 0),
-        "liab_full": flag(liab == 100),
-        "liab_half": flag(liab == 50),
-    }
-
-
-def evidence_columns() -> dict[str, Column]:
-    witness = flag(F.upper("witness_present_ind").isin("Y", "YES", "1", "TRUE"))
-    police = num("policy_report_filed_ind", 0).cast("int")
-    count = witness + police
-    return {
-        "has_witness": witness,
-        "has_police": police,
-        "evidence_count": count,
-        "has_full_evidence": flag(count == 2),
-        "has_no_evidence": flag(count == 0),
-        "in_network": flag(F.lower("in_network_bodyshop").isin("yes", "y", "1")),
-    }
-
-
-def profile_columns() -> dict[str, Column]:
-    rating = C("safety_rating")
-    return {
-        "high_education": num("high_education_ind", 0).cast("int"),
-        "address_change": num("address_change_ind", 0).cast("int"),
-        "safety_high": flag(rating >= 70),
-        "safety_low": flag(rating <= 30),
-    }
-
-
-def accident_columns() -> dict[str, Column]:
-    """``is_multi_clear`` also matches the unclear type; ``multi_vehicle_clear`` in the
-    analyses is the exact name."""
-    return {
-        "is_single_car": matches("accident_type", "single"),
-        "is_multi_unclear": matches("accident_type", "multi.*unclear"),
-        "is_multi_clear": matches("accident_type", "multi.*clear"),
-        "is_highway": matches("accident_site", "highway"),
-        "is_intersection": matches("accident_site", "intersection"),
-        "is_parking": matches("accident_site", "parking"),
-    }
-
-
-def category_columns() -> dict[str, Column]:
-    zip_code = zero_pad(num("zip_code", 0).cast("bigint"), 5)
-    zip3 = F.substring(zip_code, 1, 3)
-    return {
-        **{c: F.coalesce(C(c).cast("string"), F.lit("Unknown")) for c in CATEGORICAL},
-        "accident_combo": F.concat_ws("_", "accident_site", "accident_type"),
-        "zip_code": zip_code,
-        "zip3": F.when(zip3 == "000", "unknown").otherwise(zip3),
-    }
-
-
-def money_columns(art: Column) -> dict[str, Column]:
-    mileage = F.coalesce(num("vehicle_mileage"), art["mileage_median"])
-    columns = {"vehicle_mileage": mileage}
-    for c in MONEY:
-        columns[f"{c}_capped"] = clip(F.coalesce(num(c), art[f"{c}_med"]), art[f"{c}_p01"], art[f"{c}_p99"])
-    return columns
-
-
-def ratio_columns(marks: Column) -> dict[str, Column]:
-    income, price, payout = (C(f"{c}_capped") for c in ("annual_income", "vehicle_price", "claim_est_payout"))
-    high = {
-        name: flag((C(c) if c == "vehicle_mileage" else C(f"{c}_capped")) > marks[c])
-        for c, name in HIGH_FLAGS.items()
-    }
-    return {
-        "mileage_per_year": C("vehicle_mileage") / (C("period_of_driving") + 1),
-        "mileage_log": F.log1p("vehicle_mileage"),
-        **{f"{c}_log": F.log1p(f"{c}_capped") for c in MONEY},
-        "payout_to_income": payout / (income + 1),
-        "payout_to_price": payout / (price + 1),
-        "income_to_price": income / (price + 1),
-        **high,
-    }
-
-
-def interaction_columns() -> dict[str, Column]:
-    liab, inverse, mid = C("liab_prct"), C("liab_inverse"), C("liab_20_30")
-    single, unclear = C("is_single_car"), C("is_multi_unclear")
-    evidence, some_evidence = C("evidence_count"), flag(C("evidence_count") > 0)
-    times_liab = {
-        "witness": "has_witness",
-        "police": "has_police",
-        "evidence_count": "evidence_count",
-        "highway": "is_highway",
-        "intersection": "is_intersection",
-        "weekend": "is_weekend",
-        "rush_hour": "is_rush_hour",
-        "night": "is_night",
-        "young_driver": "is_young_driver",
-        "new_driver": "is_new_driver",
-        "past_claims": "has_past_claims",
-        "payout_ratio": "payout_to_income",
-    }
-    return {
-        **{f"liab_x_{name}": liab * C(c) for name, c in times_liab.items()},
-        "liab_inverse_x_evidence": inverse * evidence,
-        "liab_inverse_x_experienced": inverse * C("is_experienced"),
-        "liab_inverse_x_no_claims": inverse * (1 - C("has_past_claims")),
-        "liab_inverse_x_high_income": inverse * C("is_high_income"),
-        "liab_20_30_x_multi_unclear": mid * unclear,
-        "liab_20_30_x_single": mid * single,
-        "liab_20_30_x_multi_x_evidence": mid * unclear * some_evidence,
-        "low_liab_x_multi": flag(liab < 30) * (1 - single),
-        "high_liab_x_single": flag(liab > 50) * single,
-        "low_liab_x_single_x_no_evidence": flag(liab < 25) * single * C("has_no_evidence"),
-        "high_liab_x_weekend_x_night": flag(liab > 60) * C("is_weekend") * C("is_night"),
-        "golden_combo": mid * unclear * some_evidence * C("is_highway"),
-    }
+    return marks.agg(*[F.max(F.when(C("column") == c, C("q")[0])).alias(f"{c}_mark") for c in HIGH_FLAGS])
+
+
+# --- row-local groups: output column -> SQL expression ------------------------
+
+
+def _flags(**conditions: str) -> dict[str, str]:
+    """0/1 columns; a condition over a missing value is 0."""
+    return {name: f"int(coalesce({test}, false))" for name, test in conditions.items()}
+
+
+def _number(column: str, default: float | None = None) -> str:
+    value = f"nullif(try_cast(`{column}` AS double), double('NaN'))"
+    return value if default is None else f"coalesce({value}, double({default}))"
+
+
+TIME_PARTS = {
+    "claim_date": "try_cast(claim_date AS timestamp_ntz)",
+    "claim_year": "year(claim_date)",
+    "claim_month": "month(claim_date)",
+    "claim_dow": "weekday(claim_date)",
+    "claim_hour": "hour(claim_date)",
+    "claim_day": "dayofmonth(claim_date)",
+    "claim_quarter": "quarter(claim_date)",
+}
+TIME_FLAGS = _flags(
+    is_weekend="claim_dow >= 5",
+    is_weekday="claim_dow < 5",
+    is_morning="claim_hour BETWEEN 6 AND 11",
+    is_afternoon="claim_hour BETWEEN 12 AND 17",
+    is_evening="claim_hour BETWEEN 18 AND 21",
+    is_night="claim_hour >= 22 OR claim_hour < 6",
+    is_rush_hour="claim_hour BETWEEN 7 AND 9 OR claim_hour BETWEEN 16 AND 19",
+    is_winter="claim_month IN (12, 1, 2)",
+    is_summer="claim_month IN (6, 7, 8)",
+)
+# Raw numbers and texts with their defaults; later groups build on these.
+RAW = {
+    "year_of_born": _number("year_of_born", 1980),
+    "age_of_DL": _number("age_of_DL", 25),
+    "past_num_of_claims": _number("past_num_of_claims", 0),
+    "safety_rating": _number("safety_rating", 50),
+    "liab_prct": f"least(greatest({_number('liab_prct', 0)}, 0D), 100D)",
+    "accident_type": "coalesce(string(accident_type), 'Unknown')",
+    "accident_site": "coalesce(string(accident_site), 'Unknown')",
+    **{c: f"coalesce(string({c}), 'Unknown')" for c in CATEGORICAL},
+    "zip_code": f"string(bigint({_number('zip_code', 0)}))",
+}
+MONEY_COLUMNS = {
+    "vehicle_mileage": f"coalesce({_number('vehicle_mileage')}, mileage_median)",
+    **{f"{c}_capped": f"greatest(least(coalesce({_number(c)}, {c}_med), {c}_p99), {c}_p01)" for c in MONEY},
+}
+# A missing claim year keeps the age missing: greatest and least alone would hide it.
+AGE = {
+    "age_at_claim": "CASE WHEN claim_year IS NOT NULL "
+    "THEN least(greatest(claim_year - year_of_born, 16D), 100D) END"
+}
+DRIVEN = {"period_of_driving": "CASE WHEN age_at_claim IS NOT NULL THEN greatest(age_at_claim - age_of_DL, 0D) END"}
+DEMOGRAPHICS = _flags(
+    is_young_driver="age_at_claim < 25",
+    is_senior_driver="age_at_claim >= 65",
+    is_mid_age_driver="age_at_claim >= 25 AND age_at_claim < 65",
+    is_new_driver="period_of_driving < 3",
+    is_experienced="period_of_driving >= 10",
+)
+HISTORY = {
+    "claims_per_year": "past_num_of_claims / (period_of_driving + 1)",
+    **_flags(has_past_claims="past_num_of_claims > 0", has_multiple_claims="past_num_of_claims >= 2"),
+}
+LIABILITY = {
+    **_flags(
+        liab_0_10="liab_prct <= 10",
+        liab_10_20="liab_prct > 10 AND liab_prct <= 20",
+        liab_20_30="liab_prct > 20 AND liab_prct <= 30",
+        liab_30_40="liab_prct > 30 AND liab_prct <= 40",
+        liab_40_plus="liab_prct > 40",
+        liab_zero="liab_prct = 0",
+        liab_full="liab_prct = 100",
+        liab_half="liab_prct = 50",
+        **{f"liab_{i}_{i + 5}": f"liab_prct > {i} AND liab_prct <= {i + 5}" for i in range(0, 100, 5)},
+        **{f"liab_exactly_{v}": f"liab_prct = {v}" for v in EXACT_LIABILITY},
+    ),
+    "liab_squared": "liab_prct * liab_prct",
+    "liab_cubed": "liab_prct * liab_prct * liab_prct",
+    "liab_sqrt": "sqrt(liab_prct)",
+    "liab_inverse": "100 - liab_prct",
+    "liab_inverse_sq": "(100 - liab_prct) * (100 - liab_prct)",
+    "liab_log": "log1p(liab_prct)",
+}
+EVIDENCE = {
+    **_flags(
+        has_witness="upper(witness_present_ind) IN ('Y', 'YES', '1', 'TRUE')",
+        in_network="lower(in_network_bodyshop) IN ('yes', 'y', '1')",
+    ),
+    "has_police": f"int({_number('policy_report_filed_ind', 0)})",
+}
+EVIDENCE_COUNT = {"evidence_count": "has_witness + has_police"}
+EVIDENCE_FLAGS = _flags(has_full_evidence="evidence_count = 2", has_no_evidence="evidence_count = 0")
+PROFILE = {
+    "high_education": f"int({_number('high_education_ind', 0)})",
+    "address_change": f"int({_number('address_change_ind', 0)})",
+    **_flags(safety_high="safety_rating >= 70", safety_low="safety_rating <= 30"),
+}
+# is_multi_clear also matches the unclear type.
+ACCIDENT = _flags(
+    is_single_car="accident_type RLIKE '(?i)single'",
+    is_multi_unclear="accident_type RLIKE '(?i)multi.*unclear'",
+    is_multi_clear="accident_type RLIKE '(?i)multi.*clear'",
+    is_highway="accident_site RLIKE '(?i)highway'",
+    is_intersection="accident_site RLIKE '(?i)intersection'",
+    is_parking="accident_site RLIKE '(?i)parking'",
+)
+CATEGORIES = {
+    "accident_combo": "concat_ws('_', accident_site, accident_type)",
+    # lpad alone would cut a longer code.
+    "zip_code": "CASE WHEN length(zip_code) < 5 THEN lpad(zip_code, 5, '0') ELSE zip_code END",
+}
+ZIP3 = {"zip3": "CASE WHEN left(zip_code, 3) = '000' THEN 'unknown' ELSE left(zip_code, 3) END"}
+RATIOS = {
+    "mileage_per_year": "vehicle_mileage / (period_of_driving + 1)",
+    "mileage_log": "log1p(vehicle_mileage)",
+    **{f"{c}_log": f"log1p({c}_capped)" for c in MONEY},
+    "payout_to_income": "claim_est_payout_capped / (annual_income_capped + 1)",
+    "payout_to_price": "claim_est_payout_capped / (vehicle_price_capped + 1)",
+    "income_to_price": "annual_income_capped / (vehicle_price_capped + 1)",
+    **_flags(
+        **{
+            name: f"{c if c == 'vehicle_mileage' else f'{c}_capped'} > {c}_mark"
+            for c, name in HIGH_FLAGS.items()
+        }
+    ),
+}
+# liab_x_<name> = liability times this column.
+TIMES_LIABILITY = {
+    "witness": "has_witness",
+    "police": "has_police",
+    "evidence_count": "evidence_count",
+    "highway": "is_highway",
+    "intersection": "is_intersection",
+    "weekend": "is_weekend",
+    "rush_hour": "is_rush_hour",
+    "night": "is_night",
+    "young_driver": "is_young_driver",
+    "new_driver": "is_new_driver",
+    "past_claims": "has_past_claims",
+    "payout_ratio": "payout_to_income",
+}
+INTERACTIONS = {
+    **{f"liab_x_{name}": f"liab_prct * {c}" for name, c in TIMES_LIABILITY.items()},
+    "liab_inverse_x_evidence": "liab_inverse * evidence_count",
+    "liab_inverse_x_experienced": "liab_inverse * is_experienced",
+    "liab_inverse_x_no_claims": "liab_inverse * (1 - has_past_claims)",
+    "liab_inverse_x_high_income": "liab_inverse * is_high_income",
+    "liab_20_30_x_multi_unclear": "liab_20_30 * is_multi_unclear",
+    "liab_20_30_x_single": "liab_20_30 * is_single_car",
+    "liab_20_30_x_multi_x_evidence": "liab_20_30 * is_multi_unclear * int(evidence_count > 0)",
+    "low_liab_x_multi": "int(liab_prct < 30) * (1 - is_single_car)",
+    "high_liab_x_single": "int(liab_prct > 50) * is_single_car",
+    "low_liab_x_single_x_no_evidence": "int(liab_prct < 25) * is_single_car * has_no_evidence",
+    "high_liab_x_weekend_x_night": "int(liab_prct > 60) * is_weekend * is_night",
+    "golden_combo": "liab_20_30 * is_multi_unclear * int(evidence_count > 0) * is_highway",
+}
+# Each step is one projection and may use the columns of the steps before it.
+STEPS = (
+    {"claim_date": TIME_PARTS["claim_date"]} | RAW | MONEY_COLUMNS | EVIDENCE,
+    {n: e for n, e in TIME_PARTS.items() if n != "claim_date"} | EVIDENCE_COUNT | CATEGORIES,
+    AGE | TIME_FLAGS | EVIDENCE_FLAGS | LIABILITY | PROFILE | ACCIDENT | ZIP3,
+    DRIVEN,
+    DEMOGRAPHICS | HISTORY | RATIOS,
+    INTERACTIONS,
+)
+ENGINEERED = tuple(dict.fromkeys(name for step in STEPS for name in step))
+
+
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add or replace columns in one projection."""
+    kept = [f"`{c}`" for c in df.columns if c not in columns]
+    return df.selectExpr(*kept, *[f"{sql} AS `{name}`" for name, sql in columns.items()])
 
 
 def transform(df: DataFrame, artifacts: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """All engineered columns. ``marks`` fixes the high-flag marks (for example those of
     the training frame); by default they come from ``df``."""
     marks = high_marks(df, artifacts) if marks is None else marks
-    unknown = {c: F.coalesce(C(c).cast("string"), F.lit("Unknown")) for c in ("accident_type", "accident_site")}
-    age = clip(C("claim_year") - C("year_of_born"), 16.0, 100.0)
-    return (
-        df.withColumns({"_art": _as_struct(artifacts), "_marks": _as_struct(marks)})
-        .withColumns(time_columns() | _number_columns() | unknown | money_columns(C("_art")))
-        .withColumn("age_at_claim", age)
-        .withColumn("period_of_driving", clip(C("age_at_claim") - C("age_of_DL"), 0.0))
-        .withColumns(
-            demographic_columns()
-            | claim_history_columns()
-            | liability_columns()
-            | evidence_columns()
-            | profile_columns()
-            | accident_columns()
-            | category_columns()
-            | ratio_columns(C("_marks"))
-        )
-        .withColumns(interaction_columns())
-        .drop("_art", "_marks")
-    )
+    wide = beside(beside(df, artifacts), marks)
+    for step in STEPS:
+        wide = _project(wide, step)
+    return wide.drop(*artifacts.columns, *marks.columns)
 
 
 def select_features(df: DataFrame, names: Sequence[str] = SELECTED, *keep: str) -> DataFrame:

@@ -21,3 +21,9 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows
     ``max_rows``; a larger one is joined by shuffle, with skew split at run time."""
     small = settled(small)
     return big.join(F.broadcast(small) if small.count() <= max_rows else small, on, how)
+
+
+def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Every row of ``df`` with the columns of a frame that has one row by construction
+    (an aggregate without keys), so the broadcast has a fixed size."""
+    return df.join(F.broadcast(one_row), how="cross")
