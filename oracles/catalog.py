@@ -1,5 +1,5 @@
 """All oracle statements."""
 
-from oracles import analyses, basics, features
+from oracles import analyses, basics, features, models
 
-ORACLES = {**basics.ORACLES, **analyses.ORACLES, **features.ORACLES}
+ORACLES = {**basics.ORACLES, **analyses.ORACLES, **features.ORACLES, **models.ORACLES}

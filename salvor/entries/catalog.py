@@ -1,5 +1,5 @@
 """All registered queries."""
 
-from salvor.entries import analyses, basics, features
+from salvor.entries import analyses, basics, features, models
 
-QUERIES = {**basics.QUERIES, **analyses.QUERIES, **features.QUERIES}
+QUERIES = {**basics.QUERIES, **analyses.QUERIES, **features.QUERIES, **models.QUERIES}

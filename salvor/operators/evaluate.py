@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salvor.functions.stats import count_where
 from salvor.operators.ordering import running_position, value_cell
+from salvor.operators.sizes import beside, settled
 
 C = F.col
 
@@ -90,7 +91,7 @@ def apply_threshold(df: DataFrame, score: str, threshold: Column, into: str = "p
     return df.withColumn(into, F.when(C(score) >= threshold, 1).otherwise(0))
 
 
-def f1_at(df: DataFrame, score: str, label: str, threshold: Column) -> Column:
+def f1_at(score: str, label: str, threshold: Column) -> Column:
     """Aggregate expression: F1 of ``score >= threshold``."""
     hit, positive = C(score) >= threshold, C(label) == 1
     return f1(
@@ -185,14 +186,13 @@ def blend_weights(df: DataFrame, scores: Sequence[str], label: str, grid: Grid =
 
 
 def blend(df: DataFrame, weights: DataFrame, scores: Sequence[str], into: str = "p") -> DataFrame:
-    """Weighted score per row; the weights are one scalar row, so nothing is shuffled."""
-    w = weights.select(F.struct("*").alias("_w")).scalar()
-    held = df.withColumn("_w", w)
+    """Weighted score per row; the weights are one row, so nothing is shuffled."""
+    held = beside(df, weights.select(*[C(s).alias(f"_w_{s}") for s in scores]))
     total = None
     for s in scores:
-        part = C("_w")[s] * C(s)
+        part = C(f"_w_{s}") * C(s)
         total = part if total is None else total + part
-    return held.withColumn(into, total).drop("_w")
+    return held.withColumn(into, total).drop(*[f"_w_{s}" for s in scores])
 
 
 def simple_mean(scores: Sequence[str]) -> Column:
@@ -206,19 +206,12 @@ def metrics_row(
     train: DataFrame, test: DataFrame, score: str, label: str, n_features: int, grid: Grid = SINGLE_GRID
 ) -> DataFrame:
     """One row: train and test F1 and AUC, the threshold found on train, feature count."""
-    threshold = best_threshold(threshold_sweep(train, score, label, grid)).select("threshold")
-    t = threshold.scalar()
-
-    def of(df: DataFrame, name: str) -> dict[str, Column]:
-        hit = df.withColumn("_t", t)
-        return {
-            f"{name}_f1": hit.agg(f1_at(hit, score, label, C("_t"))).scalar(),
-            f"{name}_auc": roc_auc(df, score, label).select("auc").scalar(),
-        }
-
-    columns = of(train, "train") | of(test, "test")
-    columns["best_threshold"] = C("threshold")
-    return threshold.select(*[c.alias(n) for n, c in columns.items()], F.lit(n_features).alias("n_features"))
+    threshold = settled(best_threshold(threshold_sweep(train, score, label, grid)).select("threshold"))
+    row = threshold.select(C("threshold").alias("best_threshold"), F.lit(n_features).alias("n_features"))
+    for name, part in (("train", train), ("test", test)):
+        hit = beside(part, threshold).agg(f1_at(score, label, C("threshold")).alias(f"{name}_f1"))
+        row = beside(beside(row, hit), roc_auc(part, score, label).withColumnRenamed("auc", f"{name}_auc"))
+    return row
 
 
 def report_lines(metrics: DataFrame, artifacts: Mapping[str, str] | None = None) -> DataFrame:
