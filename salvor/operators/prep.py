@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salvor.operators.ordering import hash_cell, number_rows, text_cell
-from salvor.operators.sizes import join_small
+from salvor.operators.sizes import beside, measured, settled
 
 C = F.col
 
@@ -36,14 +36,29 @@ def hash_split(key: str, percent: int, seed: int = 42) -> Column:
     return F.pmod(C(key) * 7919 + seed, F.lit(100)) < percent
 
 
-def encoding_table(train: DataFrame, column: str, label: str, smoothing: float = 30) -> DataFrame:
-    """(column, <column>_te): smoothed label mean per category of the training frame."""
-    mean = train.agg(F.avg(label)).scalar()
-    stats = train.filter(C(column).isNotNull()).groupBy(column).agg(
-        F.sum(label).alias("_s"), F.count(label).alias("_n")
+def encoding_tables(
+    train: DataFrame, columns: Sequence[str], label: str, smoothing: float = 30
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Smoothed label mean per category, and the overall mean (one row).
+
+    All columns are counted in one pass over the training frame; a missing category is
+    left out, as it takes the overall mean.
+    """
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), C(c).cast("string").alias("value")) for c in columns])
+    stats = settled(
+        train.select(label, F.explode(entries).alias("_e"))
+        .groupBy("_e.column", "_e.value")
+        .agg(F.sum(label).alias("s"), F.count(label).alias("n"))
+    )
+    overall = settled(
+        stats.filter(C("column") == columns[0]).agg((F.sum("s") / F.sum("n")).alias("_mean"))
     )
-    value = (C("_s") + smoothing * mean) / (C("_n") + smoothing)
-    return stats.select(column, value.alias(f"{column}_te"))
+    known = beside(stats.filter(C("value").isNotNull()), overall)
+    value = (C("s") + smoothing * C("_mean")) / (C("n") + smoothing)
+    return {
+        c: measured(known.filter(C("column") == c).select(C("value").alias(c), value.alias(f"{c}_te")))
+        for c in columns
+    }, overall
 
 
 def target_encode(
@@ -55,13 +70,15 @@ def target_encode(
 ) -> list[DataFrame]:
     """Add ``<column>_te`` to every frame from the training statistics; a category the
     training frame lacks, or a missing one, takes the overall mean."""
-    mean = train.agg(F.avg(label)).scalar()
-    frames = list(frames)
-    for column in columns:
-        table = encoding_table(train, column, label, smoothing)
-        te = f"{column}_te"
-        frames = [join_small(f, table, column).withColumn(te, F.coalesce(te, mean)) for f in frames]
-    return frames
+    tables, overall = encoding_tables(train, columns, label, smoothing)
+    encoded = []
+    for frame in frames:
+        for column, table in tables.items():
+            frame = frame.join(table, column, "left")
+        frame = beside(frame, overall)
+        filled = {f"{c}_te": F.coalesce(f"{c}_te", "_mean") for c in columns}
+        encoded.append(frame.withColumns(filled).drop("_mean"))
+    return encoded
 
 
 def label_codes(frames: Sequence[DataFrame], column: str) -> DataFrame:
@@ -71,13 +88,18 @@ def label_codes(frames: Sequence[DataFrame], column: str) -> DataFrame:
     return number_rows(distinct, [column], text_cell(C(column)), "code", start=0)
 
 
-def label_encode(df: DataFrame, codes: DataFrame, column: str, into: str | None = None) -> DataFrame:
-    """Replace (or add) the code of a category; an unseen one takes the next free code."""
-    into = into or column
-    unseen = codes.agg(F.coalesce(F.max("code") + 1, F.lit(0))).scalar()
-    small = codes.select(C(column).alias("_value"), C("code").alias("_code"))
-    joined = join_small(df, small, C(column).cast("string") == C("_value"))
-    return joined.withColumn(into, F.coalesce("_code", unseen)).drop("_value", "_code")
+def label_encode(
+    df: DataFrame, codes: DataFrame, column: str, into: str | None = None, *, keep_missing: bool = False
+) -> DataFrame:
+    """Replace (or add) the code of a category. An unseen one takes the next free code;
+    a missing one too, unless ``keep_missing``."""
+    small = measured(codes.select(C(column).alias("_value"), C("code").alias("_code")))
+    unseen = small.agg(F.coalesce(F.max("_code") + 1, F.lit(0)).alias("_unseen"))
+    joined = beside(df.join(small, C(column).cast("string") == C("_value"), "left"), unseen)
+    code = F.coalesce("_code", "_unseen")
+    if keep_missing:
+        code = F.when(C(column).isNotNull(), code)
+    return joined.withColumn(into or column, code).drop("_value", "_code", "_unseen")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:

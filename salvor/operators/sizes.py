@@ -16,11 +16,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a narrow lookup frame. It is broadcast when it is counted to be within
-    ``max_rows``; a larger one is joined by shuffle, with skew split at run time."""
+def measured(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A narrow lookup frame, computed once. It is marked for broadcast when it is counted
+    to be within ``max_rows``; a larger one stays unmarked and is joined by shuffle, with
+    skewed keys split at run time."""
     small = settled(small)
-    return big.join(F.broadcast(small) if small.count() <= max_rows else small, on, how)
+    return F.broadcast(small) if small.count() <= max_rows else small
 
 
 def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:

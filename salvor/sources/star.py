@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salvor import schema as S
@@ -22,6 +22,13 @@ def _conform(df: DataFrame, table_schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema])
 
 
+def learnable_label() -> Column:
+    """A label that depends on liability and evidence, with a fifth of the rows flipped."""
+    evidence = (F.col("witness_present_ind") == "Y") | (F.col("policy_report_filed_ind") == 1)
+    rule = flag((F.col("liab_prct") < 35) & evidence)
+    return F.when(F.col("claim_number") * 7919 % 100 < 20, 1 - rule).otherwise(rule)
+
+
 class Star:
     """Lazily built frames of one scale-factor folder."""
 
@@ -177,7 +184,7 @@ class Star:
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Claims with a label that depends on the features and three fixed scores.
+        """Claims with a learnable label and three fixed scores.
 
         The scores stand for model outputs so that every metric can be checked
         exactly; they are rational functions of liability and evidence.
@@ -185,8 +192,6 @@ class Star:
         witness = flag(F.col("witness_present_ind") == "Y")
         police = F.col("policy_report_filed_ind")
         number = F.col("claim_number")
-        rule = flag((F.col("liab_prct") < 35) & ((witness == 1) | (police == 1)))
-        flipped = number * 7919 % 100 < 20
         base = (100 - F.col("liab_prct")) / 250.0
         return self.claim.select(
             "claim_number",
@@ -194,12 +199,17 @@ class Star:
             "claim_est_payout",
             "liab_prct",
             "claim_day_of_week",
-            F.when(flipped, 1 - rule).otherwise(rule).alias("y"),
+            learnable_label().alias("y"),
             (base + (witness * 3 + police) / 20.0 + (number % 97) / 1000.0).alias("p_a"),
             (base + (witness + police) / 10.0 + (number % 89) / 500.0).alias("p_b"),
             ((base * 2 + (number % 83) / 100.0) / 2.0).alias("p_c"),
         )
 
+    @cached_property
+    def learnable(self) -> DataFrame:
+        """The wide claims with the learnable label in place of the random one."""
+        return self.wide.withColumn("subrogation", learnable_label())
+
 
 def star(spark: SparkSession, folder: str) -> Star:
     return Star(spark, folder)
