@@ -1,5 +1,5 @@
 """All registered queries."""
 
-from salvor.entries import analyses, basics, features, models
+from salvor.entries import analyses, basics, features, models, training
 
-QUERIES = {**basics.QUERIES, **analyses.QUERIES, **features.QUERIES, **models.QUERIES}
+QUERIES = {**basics.QUERIES, **analyses.QUERIES, **features.QUERIES, **models.QUERIES, **training.QUERIES}
