@@ -219,7 +219,7 @@ def report_lines(metrics: DataFrame, artifacts: Mapping[str, str] | None = None)
     rule = "=" * 45
 
     def shown(column: str, pattern: str) -> Column:
-        return F.coalesce(F.format_string(pattern, C(column)), F.lit("N/A"))
+        return F.when(C(column).isNotNull(), F.format_string(pattern, C(column))).otherwise(F.lit("N/A"))
 
     lines = [
         F.lit(rule),
