@@ -206,6 +206,8 @@ def metrics_row(
     train: DataFrame, test: DataFrame, score: str, label: str, n_features: int, grid: Grid = SINGLE_GRID
 ) -> DataFrame:
     """One row: train and test F1 and AUC, the threshold found on train, feature count."""
+    # Two columns per row, read by several metrics.
+    train, test = (settled(part.select(score, label)) for part in (train, test))
     threshold = settled(best_threshold(threshold_sweep(train, score, label, grid)).select("threshold"))
     row = threshold.select(C("threshold").alias("best_threshold"), F.lit(n_features).alias("n_features"))
     for name, part in (("train", train), ("test", test)):

@@ -130,6 +130,7 @@ def label_frame(claim: DataFrame, vehicle: DataFrame) -> DataFrame:
 
 def label_regression(frame: DataFrame) -> DataFrame:
     """Linear probability model: (term, coef, std_err, t, p_value, r2, n)."""
+    frame = settled(frame)  # the fit and its summary pass over it several times
     model, used = fit_linear(frame, LABEL_FEATURES, "subrogation")
     s = model.summary
     terms = _terms(
@@ -157,7 +158,7 @@ def logistic_regression(frame: DataFrame) -> DataFrame:
     """Logit with one interaction: (term, coef, std_err, t, p_value, pseudo_r2, n)."""
     name = "liab_prct:safety_rating"
     rows = frame.withColumn("liab_x_safety", interaction("liab_prct", "safety_rating"))
-    inputs = assembled(rows, [*LOGIT_FEATURES, "liab_x_safety"], "subrogation")
+    inputs = assembled(settled(rows), [*LOGIT_FEATURES, "liab_x_safety"], "subrogation")
     model = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="subrogation").fit(inputs)
     s = model.summary
     terms = _terms(

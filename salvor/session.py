@@ -16,6 +16,7 @@ def build(app: str = "salvor", master: str | None = None, **conf) -> SparkSessio
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)

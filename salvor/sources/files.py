@@ -41,7 +41,13 @@ def read_csv_key(spark: SparkSession, path: str, schema: T.StructType, key: str)
 
 
 def write_stage(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Parquet hand-over between steps; partition columns prune later reads."""
+    """Parquet hand-over between steps; partition columns prune later reads.
+
+    Rows are first gathered by partition, so a task does not write a small file into
+    every one of them; a partition far larger than the others is split again.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
