@@ -2,6 +2,13 @@
 
 from oracles.star import over
 
+
+
+def _half_up(x: str, digits: int) -> str:
+    """Round the decimal value, so that a mean that ends in 5 goes up."""
+    return f"cast(round(cast({x} as decimal(28, 8)), {digits}) as double)"
+
+
 YES = "lower(trim(coalesce(witness_present_ind, ''))) in ('y', 'yes', 'true', '1')"
 
 
@@ -149,8 +156,8 @@ ORACLES = {
     "veh01": over(
         "vehicle claim",
         f"""select vehicle_category, vehicle_color, count(*) as num_claims, {RATE},
-          round(avg(case when subrogation > 0 then claim_est_payout end), 2) as avg_payout_subro,
-          round(avg(case when subrogation = 0 then claim_est_payout end), 2) as avg_payout_non,
+          {_half_up('avg(case when subrogation > 0 then claim_est_payout end)', 2)} as avg_payout_subro,
+          {_half_up('avg(case when subrogation = 0 then claim_est_payout end)', 2)} as avg_payout_non,
           {VALUE} {JOINED} group by 1, 2""",
     ),
     "veh02": over(
@@ -159,7 +166,7 @@ ORACLES = {
             when vehicle_price >= 15000 and vehicle_price < 25000 then '15k–25k'
             when vehicle_price >= 25000 and vehicle_price < 40000 then '25k–40k'
             else '≥40k' end as price_band,
-          count(*) as num_claims, {RATE}, round(avg(claim_est_payout), 2) as avg_payout, {VALUE}
+          count(*) as num_claims, {RATE}, {_half_up('avg(claim_est_payout)', 2)} as avg_payout, {VALUE}
         {JOINED} group by 1""",
     ),
     "veh03": over(
@@ -169,8 +176,8 @@ ORACLES = {
             when vehicle_mileage >= 50000 and vehicle_mileage < 100000 then '50k–100k'
             else '≥100k' end as mileage_band,
           count(*) as num_claims, {RATE},
-          round(avg(case when subrogation > 0 then liab_prct end), 2) as avg_liability_if_subro,
-          round(avg(claim_est_payout), 2) as avg_payout
+          {_half_up('avg(case when subrogation > 0 then liab_prct end)', 2)} as avg_liability_if_subro,
+          {_half_up('avg(claim_est_payout)', 2)} as avg_payout
         {JOINED} group by 1""",
     ),
     "veh04": over(
@@ -181,7 +188,7 @@ ORACLES = {
     "veh05": over(
         "vehicle claim",
         f"""select vehicle_category, channel, count(*) as num_claims, {RATE},
-          round(avg(claim_est_payout), 2) as avg_payout {JOINED} group by 1, 2 having count(*) >= 50""",
+          {_half_up('avg(claim_est_payout)', 2)} as avg_payout {JOINED} group by 1, 2 having count(*) >= 50""",
     ),
     "veh06": over(
         "claim",
@@ -274,13 +281,13 @@ POL = {
       from claim join policyholder using (policyholder_key) group by 1""",
     "pol03": """select high_education_ind as has_higher_ed, avg(past_num_of_claims) as avg_past_claims
       from policyholder group by 1""",
-    "pol04": """select case when high_education_ind = 1 then 'HigherEdu' else 'NonEdu' end as education,
-        living_status, round(avg(claim_est_payout), 2) as avg_payout, count(*) as num_claims
+    "pol04": f"""select case when high_education_ind = 1 then 'HigherEdu' else 'NonEdu' end as education,
+        living_status, {_half_up('avg(claim_est_payout)', 2)} as avg_payout, count(*) as num_claims
       from claim join policyholder using (policyholder_key) group by 1, 2""",
-    "pol05": """select past_num_of_claims as prev_claims, count(claim_number) as new_claims,
-        round(avg(claim_est_payout), 2) as avg_payout
+    "pol05": f"""select past_num_of_claims as prev_claims, count(claim_number) as new_claims,
+        {_half_up('avg(claim_est_payout)', 2)} as avg_payout
       from claim join policyholder using (policyholder_key) group by 1""",
-    "pol06": """select channel, count(*) as num_claims, round(avg(claim_est_payout), 2) as avg_payout,
+    "pol06": f"""select channel, count(*) as num_claims, {_half_up('avg(claim_est_payout)', 2)} as avg_payout,
         round(sum(claim_est_payout), 2) as total_payout from claim group by 1""",
     "pol07": """select accident_key, count(*) as num_claims, avg(claim_est_payout) as avg_payout
       from claim group by 1""",

@@ -74,8 +74,13 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Round a mean as its decimal value: summing order must not decide a final 5."""
+    return F.round(F.round(value, 8), digits)
+
+
 def pct(part: Column, whole_: Column, digits: int = 2) -> Column:
-    return F.round(F.try_divide(part * F.lit(100.0), whole_), digits)
+    return half_up(F.try_divide(part * F.lit(100.0), whole_), digits)
 
 
 def display_number(c: Column | str, digits: int = 2) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salvor.functions.scalars import half_up
 from salvor.functions.stats import count_where, pearson
 from salvor.operators import analysis as A
 
@@ -40,7 +41,7 @@ def _joined(claim: DataFrame, vehicle: DataFrame, *extra: str) -> DataFrame:
 
 
 def _mean(total: str, n: str, digits: int) -> Column:
-    return F.round(F.try_divide(F.sum(total), F.sum(n)), digits)
+    return half_up(F.try_divide(F.sum(total), F.sum(n)), digits)
 
 
 def _rate() -> Column:
