@@ -71,8 +71,26 @@ def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
     return some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))).filter(F.col("place") <= per_language)
 
 
-def fit(docs: DataFrame, *, per_language: int = TRAIN_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> tuple[list[str], np.ndarray]:
-    """(languages, weight of every place for every language), from a bounded sample.
+class Model:
+    def __init__(self, languages: list[str], weights: np.ndarray):
+        self.languages, self.weights = languages, weights
+
+    def predict(self, texts: list[str], grams: Grams) -> tuple[list[str], list[float]]:
+        """Language and score of each text, by matrix products over blocks of rows."""
+        predicted, scores = [], []
+        for at in range(0, len(texts), 128):
+            rows, known = grams.matrix(texts[at : at + 128])
+            if not self.languages:
+                known[:] = False
+            values = rows @ self.weights[:-1] + self.weights[-1]
+            best = values.argmax(axis=1) if self.languages else known.astype(int)
+            predicted += [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+            scores += [float(min(1.0, max(0.0, (1 + v[b]) / 2))) if k else 0.0 for v, b, k in zip(values, best, known)]
+        return predicted, scores
+
+
+def fit(docs: DataFrame, *, per_language: int = TRAIN_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Weights of every place for every language, from a bounded sample.
 
     Executors turn the sample's texts into bit rows of 2^BITS places, so what reaches the driver is bounded
     by ``per_language`` x languages x 4 KB. Landmarks are the first rows by key. With the kernel K of
@@ -92,7 +110,7 @@ def fit(docs: DataFrame, *, per_language: int = TRAIN_ROWS, landmarks: int = LAN
     found = sorted(by_batches(sample, bits, "key long, lang string, row binary").collect())
     languages = sorted({r["lang"] for r in found})
     if not found:
-        return [], np.zeros(((1 << BITS) + 1, 0), np.float32)
+        return Model([], np.zeros(((1 << BITS) + 1, 0), np.float32))
 
     def rows(part) -> np.ndarray:
         made = np.unpackbits(np.array([np.frombuffer(r["row"], np.uint8) for r in part]), axis=1).astype(np.float32)
@@ -109,37 +127,40 @@ def fit(docs: DataFrame, *, per_language: int = TRAIN_ROWS, landmarks: int = LAN
     penalty[-1, -1] = 1e-9
     solved = np.linalg.solve(features.T @ features + penalty, features.T @ goal)
     weights = (marks.T @ (root @ solved[:-1])).astype(np.float32)
-    return languages, np.vstack([weights, solved[-1:].astype(np.float32)])
+    return Model(languages, np.vstack([weights, solved[-1:].astype(np.float32)]))
 
 
-def identify(docs: DataFrame, languages: list[str], weights: np.ndarray) -> DataFrame:
-    """doc_id, lang_pred, score for every row, whole texts, by matrix products over batches.
+def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, lang_pred, score for every row and whole text.
 
     The score is the winner's regression value moved from [-1, 1] to [0, 1]. Null texts, texts without a letter
     and a model without languages give ``und`` with score 0. Ties go to the language first in order.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
-    def predict(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch, texts in batches(source):
-            predicted, scores = [], []
-            for at in range(0, len(texts), 128):
-                rows, known = grams.matrix(texts[at : at + 128])
-                if not languages:
-                    known[:] = False
-                values = rows @ weights[:-1] + weights[-1]
-                best = values.argmax(axis=1) if languages else known.astype(int)
-                predicted += [languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-                scores += [float(min(1.0, max(0.0, (1 + v[b]) / 2))) if k else 0.0 for v, b, k in zip(values, best, known)]
-            yield arrow(schema, [batch.column("doc_id").to_pylist(), predicted, scores])
+            yield arrow(schema, [batch.column("doc_id").to_pylist(), *model.predict(texts, grams)])
 
-    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), predict, "doc_id long, lang_pred string, score double")
+    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, "doc_id long, lang_pred string, score double")
+
+
+def recognised(docs: DataFrame, model: Model, *, least: float) -> DataFrame:
+    """The rows whose text has a language with at least this score, all columns as they are; no shuffle."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams()
+        for batch, texts in batches(source):
+            predicted, scores = model.predict(texts, grams)
+            yield batch.filter(pa.array([p != UNKNOWN and s >= least for p, s in zip(predicted, scores)], pa.bool_()))
+
+    return by_batches(docs, run, docs.schema)
 
 
 def predictions(docs: DataFrame) -> DataFrame:
     """Fit on the rows outside the held-out fold and predict every row."""
-    found = identify(docs, *fit(docs))
+    found = identify(docs, fit(docs))
     return found.select("doc_id", (remainder4(F.col("doc_id")) == 2).alias("held_out"), "lang_pred", "score")
 
 
