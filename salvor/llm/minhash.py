@@ -17,6 +17,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band with a chance of 3e-6
 COORDINATES = BANDS * ROWS
 BLOCK = 1024
+SLOTS = 1 << 20
 
 _U = np.uint64
 _GOLDEN = _U(0x9E3779B97F4A7C15)
@@ -148,8 +149,15 @@ def close_by_signature(pairs: DataFrame, reps: DataFrame, k: int, similarity: fl
 
 
 def check_pairs(docs: DataFrame, pairs: DataFrame, *, words: int, similarity: float, weighted: bool) -> DataFrame:
-    """The pairs whose exact similarity reaches the threshold. Only texts in a pair are shingled again."""
-    involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    """The pairs whose exact similarity reaches the threshold.
+
+    Only texts in a pair are shingled again, and no text is shuffled: ids fall into SLOTS hash slots,
+    and the slots in use (SLOTS rows at most, so the broadcast is bounded) pick the rows. The few
+    other rows that share a slot find no pair.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(SLOTS))
+    slots = pairs.select(slot("a").alias("slot")).union(pairs.select(slot("b"))).distinct()
+    picked = docs.select("doc_id", "text").withColumn("slot", slot("doc_id")).join(F.broadcast(slots), "slot", "left_semi")
     schema = pa.schema([("node", pa.int64()), ("elements", pa.binary()), ("weights", pa.binary())])
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +167,7 @@ def check_pairs(docs: DataFrame, pairs: DataFrame, *, words: int, similarity: fl
             sizes = [c.astype("<u4").tobytes() if weighted else b"" for _, c, _ in found]
             yield arrow(schema, [batch.column("doc_id").to_pylist(), [e.tobytes() for e, _, _ in found], sizes])
 
-    shingled = by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text").join(involved, "doc_id", "left_semi"), sets, "node long, elements binary, weights binary")
+    shingled = by_batches(picked.selectExpr("cast(doc_id as bigint) doc_id", "text"), sets, "node long, elements binary, weights binary")
     shingled = staged(shingled, "shingles")
 
     def compare(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,8 +261,8 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
     ``similarity`` (with ``weighted``, shingles count as often as they occur).
 
     1. Texts with equal words are one node, that of the smallest id (copy_of).
-    2. In each bucket of each band, every member is paired with the smallest. Signatures drop far pairs, each
-       member's closest partner is checked exactly, and links become classes.
+    2. In each bucket of each band, every member is paired with the smallest. The partner that a member shares
+       most bands with is checked, by signature and then exactly, and links become classes.
     3. Other pairs matter only between classes: the remaining star pairs, and all pairs of different classes in
        a bucket (in blocks, compared as matrices, close ones alone come out). They are checked
        exactly too, so every pair that shares a bucket is linked, in one class, or not similar.
@@ -272,11 +280,11 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
     members = nodes.select("rep", F.explode("bands").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = staged(members.join(leaders, "bucket").select("bucket", "a", "rep"), "shared")  # buckets of two or more
-    stars = shared.filter("a <> rep").select("a", F.col("rep").alias("b")).distinct()
-    close = staged(close_by_signature(stars, nodes, k, similarity), "close")
-    nearest = Window.partitionBy("b").orderBy(F.col("agree").desc(), "a")
-    ranked = close.withColumn("place", F.row_number().over(nearest))
-    links = staged(check_pairs(docs, ranked.filter("place = 1"), **options), "links")
+    stars = staged(shared.filter("a <> rep").groupBy("a", F.col("rep").alias("b")).agg(F.count("*").alias("bands")), "stars")
+    nearest = Window.partitionBy("b").orderBy(F.col("bands").desc(), "a")  # a row for each band at most
+    ranked = stars.withColumn("place", F.row_number().over(nearest))
+    close = staged(close_by_signature(ranked.filter("place = 1").select("a", "b"), nodes, k, similarity), "close")
+    links = staged(check_pairs(docs, close, **options), "links")
     classes = components(links)
 
     def classed(frame: DataFrame, node: str, name: str) -> DataFrame:
@@ -284,6 +292,7 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
         return frame.join(side, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
 
     rest = classed(classed(ranked.filter("place > 1").select("a", "b"), "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
+    rest = close_by_signature(staged(rest, "rest"), nodes, k, similarity).select("a", "b")
     inside = classed(shared.select("bucket", "rep"), "rep", "class")
     mixed = inside.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi").select("bucket")
     crossing = crossing_pairs(inside.join(mixed, "bucket"), nodes, k, similarity, block)
