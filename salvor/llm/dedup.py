@@ -61,15 +61,13 @@ def exact_groups(docs: DataFrame, *, salts: int = SALTS) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that exact_groups keeps, all columns as they are."""
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    digest = F.sha2(normalized(docs["text"]), 256)
-    marked = docs.withColumn("_sha_of_row", digest)
-    found = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_id"]) & (marked["_sha_of_row"] == kept["_sha"]), "left_semi")
-    repeated = found.withColumn(
-        "_copy", F.row_number().over(Window.partitionBy("doc_id", "_sha_of_row").orderBy(F.lit(1)))
-    )
-    return repeated.filter("_copy = 1").drop("_copy", "_sha_of_row")
+    """The documents that exact_groups keeps, all columns as they are. Rows travel as one struct, so no column clashes."""
+    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), docs["doc_id"].alias("id"), F.sha2(normalized(docs["text"]), 256).alias("sha"))
+    found = rows.join(kept, rows["id"].eqNullSafe(kept["kept_id"]) & (rows["sha"] == kept["kept_sha"]), "left_semi")
+    # Rows with equal id and text: one stays.
+    place = F.row_number().over(Window.partitionBy("id", "sha").orderBy(F.lit(1)))
+    return found.withColumn("place", place).filter("place = 1").select("doc.*")
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salvor.llm.common import SPACES, WORD, key60, staged, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
-CELL_ROWS = 65_536
+CELL_ROWS = 16_384
 
 
 def word_count(text: Column) -> Column:
@@ -88,18 +88,27 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, most: float = 3.
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: a row for each epoch that takes it whole, and one with its first words
-    (single spaces between) where the budget cuts it. doc_id must be unique."""
-    plan = mix(docs, **options).select(F.col("doc_id").alias("_id"), F.col("epochs").alias("_epochs"), F.col("part").alias("_part"), F.col("size").alias("_size"))
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
-    copies = F.col("_epochs") + F.when(F.col("_part") > 0, 1).otherwise(0)
-    # The row at the cut takes part in its last copy alone.
-    cut = (F.col("_copy") > F.col("_epochs")) & (F.col("_part") < F.col("_size"))
-    start = F.concat_ws(" ", F.slice(F.split(F.regexp_replace("text", f"^{SPACES}", ""), SPACES), 1, F.greatest(F.lit(1), F.col("_part")).cast("int")))
-    repeated = joined.filter(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
-    out = repeated.withColumn("text", F.when(cut, start).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    (single spaces between) where the budget cuts it. Rows of one id all get the largest share among them.
+    Rows travel as one struct, so no column clashes."""
+    plan = mix(docs, **options).groupBy("doc_id").agg(F.max("epochs").alias("epochs"), F.max(F.struct("part", "size")).alias("last"))
+    plan = plan.withColumnRenamed("doc_id", "id")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"))
+    joined = rows.join(plan, F.col("doc.doc_id").eqNullSafe(F.col("id")))
+    part, text = F.col("last.part"), F.col("doc.text")
+    copies = F.col("epochs") + F.when(part > 0, 1).otherwise(0)
+    repeated = joined.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
+    # The row at the cut gives a part in its last copy alone.
+    cut = (F.col("copy") > F.col("epochs")) & (part < F.col("last.size"))
+    words = F.split(F.regexp_replace(text, f"^{SPACES}", ""), SPACES)
+    start = F.concat_ws(" ", F.slice(words, 1, F.greatest(F.lit(1), part).cast("int")))
+    changed = {"text": start, "n_chars": F.length(start)}
+    kinds = {f.name: f.dataType for f in docs.schema}
+    return repeated.select(
+        *[
+            (F.when(cut, changed[c].cast(kinds[c])).otherwise(F.col("doc")[c]) if c in changed else F.col("doc")[c]).alias(c)
+            for c in docs.columns
+        ]
+    )
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -25,9 +25,9 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-HOT = re.compile(r"[0-9@]")
+HOT = re.compile(r"[0-9@]|[\[(<]at[\])>]")
 ATOM = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]", re.S)
-# Signs of entities; a run of them with a digit or an at sign is an island, with the next ones after one space.
+# Signs of entities; a run of them with a digit or an at sign, also a spelled one, is an island, with the next ones after one space.
 RUN = re.compile(r"[\w.%+@()\[\]<>-]+", re.A)
 BEFORE = 60  # characters before an island where a spelled at sign is near
 SPAN = tuple[int, int, int]  # kind, start, end
@@ -112,7 +112,7 @@ class Segments:
             hot = False
             for end in range(first + 1, min(n, first + LONGEST) + 1):
                 lo, b = self.atoms[end - 1]
-                hot = hot or text[lo] == "@" or "0" <= text[lo] <= "9"
+                hot = hot or text[lo] == "@" or "0" <= text[lo] <= "9" or text[lo:b] == "at" and text[lo - 1 : lo] in ("[", "(", "<")
                 sign = text[lo]
                 if sign in "\n\t" or not sign.isascii():
                     break
@@ -141,33 +141,51 @@ class Segments:
         )
 
 
-def _marginals(segments: Segments, weights: np.ndarray, gold: dict[tuple[int, int], int]):
-    """Log-likelihood of the gold segmentation and its gradient, by forward and backward sums.
+class Case:
+    """A training island: its segments as arrays, and which of them are gold for which kind."""
 
-    An atom outside entities scores 0, so a segment's score is its log odds."""
-    n = len(segments.atoms)
-    scores = [[(first, f, f @ weights) for first, f in found] for found in segments.ends]
-    forward = np.zeros(n + 1)
-    for end in range(1, n + 1):
-        parts = [forward[end - 1]]
-        for first, _, s in scores[end]:
-            parts += list(forward[first] + s)
-        forward[end] = np.logaddexp.reduce(parts)
-    backward = np.full(n + 1, -np.inf)
-    backward[n] = 0.0
-    for end in range(n, 0, -1):
-        backward[end - 1] = np.logaddexp(backward[end - 1], backward[end])
-        for first, _, s in scores[end]:
-            backward[first] = np.logaddexp(backward[first], np.logaddexp.reduce(s) + backward[end])
-    total, likelihood, slope = forward[n], -forward[n], np.zeros_like(weights)
-    for end in range(1, n + 1):
-        for first, f, s in scores[end]:
-            slope -= np.outer(f, np.exp(forward[first] + s + backward[end] - total))
-            kind = gold.get((first, end))
-            if kind is not None:
-                likelihood += s[kind]
-                slope[:, kind] += f
-    return likelihood, slope
+    def __init__(self, text: str, spans: list[SPAN]):
+        segments = Segments(text)
+        self.atoms = len(segments.atoms)
+        listed = [(first, end, f) for end, found in enumerate(segments.ends) for first, f in found]
+        self.at = [(first, end) for first, end, _ in listed]
+        self.features = np.array([f for _, _, f in listed]).reshape(len(listed), len(NAMES))
+        by_end: list[list[int]] = [[] for _ in range(self.atoms + 1)]
+        by_start: list[list[int]] = [[] for _ in range(self.atoms + 1)]
+        for i, (first, end) in enumerate(self.at):
+            by_end[end].append(i)
+            by_start[first].append(i)
+        self.by_end = [(np.array(x, int), np.array([self.at[i][0] for i in x], int)) for x in by_end]
+        self.by_start = [(np.array(x, int), np.array([self.at[i][1] for i in x], int)) for x in by_start]
+        starts, ends = {x: i for i, (x, _) in enumerate(segments.atoms)}, {y: i + 1 for i, (_, y) in enumerate(segments.atoms)}
+        place, self.gold, taken = {at: i for i, at in enumerate(self.at)}, [], 0
+        for kind, x, y in sorted(spans, key=lambda span: (span[1], -span[2])):
+            i = place.get((starts.get(x), ends.get(y)))
+            if i is not None and x >= taken:
+                self.gold.append((i, kind))
+                taken = y
+
+    def slope(self, weights: np.ndarray) -> np.ndarray:
+        """Gradient of the log-likelihood of the gold segmentation, by forward and backward sums. An
+        atom outside entities scores 0, so a segment's score is its log odds."""
+        if not self.at:
+            return np.zeros_like(weights)
+        scores = self.features @ weights
+        best = scores.max(axis=1, keepdims=True)
+        total = (best + np.log(np.exp(scores - best).sum(axis=1, keepdims=True)))[:, 0]
+        forward, backward = np.zeros(self.atoms + 1), np.zeros(self.atoms + 1)
+        for end in range(1, self.atoms + 1):
+            found, first = self.by_end[end]
+            forward[end] = forward[end - 1] if not len(found) else np.logaddexp.reduce(np.append(forward[first] + total[found], forward[end - 1]))
+        for first in range(self.atoms - 1, -1, -1):
+            found, end = self.by_start[first]
+            backward[first] = backward[first + 1] if not len(found) else np.logaddexp.reduce(np.append(backward[end] + total[found], backward[first + 1]))
+        firsts, ends = np.array(self.at).T
+        chance = np.exp(scores + (forward[firsts] + backward[ends] - forward[-1])[:, None])
+        slope = -self.features.T @ chance
+        for i, kind in self.gold:
+            slope[:, kind] += self.features[i]
+        return slope
 
 
 def decode(segments: Segments, weights: np.ndarray) -> list[tuple[int, int, int, float]]:
@@ -225,20 +243,12 @@ def fit(docs: DataFrame, *, documents: int = TRAIN_DOCUMENTS, rounds: int = 60)
     sample = by_batches(docs.filter(F.col("doc_id").isin(chosen)).select("text"), short, "island string")
     # Distinct shapes, digits kept: at most this many short strings reach the driver.
     texts = [r["island"] for r in sample.distinct().orderBy(F.md5("island")).limit(3 * documents).collect()]
-    cases = []
-    for text, spans in (case for t in texts for case in variants(t)):
-        segments = Segments(text)
-        starts, ends = {a: i for i, (a, _) in enumerate(segments.atoms)}, {b: i + 1 for i, (_, b) in enumerate(segments.atoms)}
-        gold, taken = {}, 0
-        for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
-            if a in starts and b in ends and a >= taken and any(f == starts[a] for f, _ in segments.ends[ends[b]]):
-                gold[(starts[a], ends[b])], taken = kind, b
-        cases.append((segments, gold))
+    cases = [Case(*case) for text in texts for case in variants(text)]
     weights, squares = np.zeros((len(NAMES), len(KINDS))), np.full((len(NAMES), len(KINDS)), 1e-6)
     for _ in range(rounds):
         slope = -0.02 * weights
-        for segments, gold in cases:
-            slope = slope + _marginals(segments, weights, gold)[1]
+        for case in cases:
+            slope = slope + case.slope(weights)
         slope /= max(1, len(cases))
         squares += slope * slope
         weights = weights + 0.5 * slope / np.sqrt(squares)
@@ -260,7 +270,7 @@ def added_spans(text: str, base: list[SPAN], weights: np.ndarray) -> list[SPAN]:
         while j < len(taken) and taken[j][0] < b:
             j += 1
         near = taken[max(0, i - 8) : j]
-        spelled = any(sign in text[max(0, a - 10) : b + 10] for sign in ("[at]", "(at)", "<at>"))
+        spelled = any(sign in text[max(0, a - 1) : b + 1] for sign in ("[at]", "(at)", "<at>"))
         few = sum("0" <= c <= "9" for c in text[a:b]) < 7 and "@" not in text[a:b]
         if any(c <= a and b <= d for c, d in near) or few and not spelled:
             continue
