@@ -123,7 +123,9 @@ def search(vectors: DataFrame, wanted: Column, *, id_column: str = "vec_id", col
         left = asking.withColumn("shard", F.explode(shard_of_block))
         every = F.sequence(F.lit(0), F.lit(blocks - 1))
         met = F.array_contains(shard_of_block, F.col("shard"))
-        right = points.withColumn("block", F.explode(every)).filter(met)
+        # New names for the columns: both sides come from one table.
+        own = points.select(*[F.col(c).alias(c) for c in points.columns])
+        right = own.withColumn("block", F.explode(every)).filter(met)
         return left.groupBy("size", "block", "shard").cogroup(right.groupBy("size", "block", "shard")).applyInPandas(run, "query_id long, vec_id long, score long")
 
     def run(asking: pd.DataFrame, having: pd.DataFrame) -> pd.DataFrame:
