@@ -127,8 +127,9 @@ def signatures(docs: DataFrame, *, words: int, bands: int, rows: int, weighted:
 
 
 def _agreeing(k: int, similarity: float) -> float:
-    """Coordinates that a pair at the threshold shares at least, 5.5 standard deviations below the mean."""
-    return k * similarity - 5.5 * np.sqrt(k * similarity * (1 - similarity))
+    """Coordinates that a pair at the threshold shares at least, 4 standard deviations below the mean:
+    a pair exactly there is lost with a chance of 3e-5, one at 0.85 with less than 1e-9."""
+    return k * similarity - 4.0 * np.sqrt(k * similarity * (1 - similarity))
 
 
 def close_by_signature(pairs: DataFrame, reps: DataFrame, k: int, similarity: float) -> DataFrame:
@@ -214,7 +215,8 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
     """Pairs of different classes inside one bucket whose signatures are close.
 
     members: bucket, rep, class. A bucket is cut into blocks of about ``block`` rows by hash, each pair of blocks
-    is compared as matrices by one task at a time, and only close pairs come out.
+    is compared as matrices by one task at a time, and only close pairs come out, each from the first
+    bucket that it shares.
     """
     least = _agreeing(k, similarity)
     # Two bytes a coordinate; the bucket's size gives the number of its blocks.
@@ -222,7 +224,7 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     grid = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
     placed = sized.withColumn("own", own).withColumn("cell", F.explode(grid)).select("bucket", "cell.i", "cell.j", "own", "rep", "class")
-    placed = placed.join(reps.select("rep", "sig"), "rep").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    placed = placed.join(reps.select("rep", "sig", "bands"), "rep").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
@@ -232,9 +234,13 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
         if not left or not right:
             return
         sig = lambda part: np.frombuffer(b"".join(r[6] for r in part), "<u2").reshape(-1, k)
-        kind, other = sig(right), np.array([r[5] for r in right])
+        kind, other, theirs = sig(right), np.array([r[5] for r in right]), np.array([r[7] for r in right])
         for row, mine in zip(left, sig(left)):
             agree = np.flatnonzero(((kind == mine).sum(axis=1) >= least) & (other != row[5]))
+            if len(agree):
+                own_bands = np.array(row[7])
+                first = (theirs[agree] == own_bands).argmax(axis=1)
+                agree = agree[own_bands[first] == rows[0][0]]
             for at in agree:
                 a, b = row[4], right[at][4]
                 if i != j or a < b:
@@ -244,7 +250,7 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
         group: list[tuple] = []
         for batch in source:
             out = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "own", "rep", "class", "sig"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "own", "rep", "class", "sig", "bands"))):
                 if group and group[0][:3] != row[:3]:
                     out += compare(group)
                     group = []
@@ -253,7 +259,7 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
         if group:
             yield arrow(schema, list(zip(*compare(group))) or [[], []])
 
-    return placed.select("bucket", "i", "j", "own", "rep", "class", "sig").mapInArrow(run, "a long, b long").distinct()
+    return placed.select("bucket", "i", "j", "own", "rep", "class", "sig", "bands").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False, block: int = BLOCK) -> DataFrame:
@@ -261,7 +267,7 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
     ``similarity`` (with ``weighted``, shingles count as often as they occur).
 
     1. Texts with equal words are one node, that of the smallest id (copy_of).
-    2. In each bucket of each band, every member is paired with the smallest. The partner that a member shares
+    2. In each bucket of each band, every member is paired with one leader. The partner that a member shares
        most bands with is checked, by signature and then exactly, and links become classes.
     3. Other pairs matter only between classes: the remaining star pairs, and all pairs of different classes in
        a bucket (in blocks, compared as matrices, close ones alone come out). They are checked
@@ -278,9 +284,13 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
     copies = signed.groupBy("copy").agg(F.min("doc_id").alias("rep"))
     nodes = staged(signed.join(copies.filter("rep is not null"), (signed["copy"] == copies["copy"]) & (signed["doc_id"] == copies["rep"])).select("rep", "bands", "sig").dropDuplicates(["rep"]), "nodes")
     members = nodes.select("rep", F.explode("bands").alias("bucket"))
-    leaders = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = staged(members.join(leaders, "bucket").select("bucket", "a", "rep"), "shared")  # buckets of two or more
-    stars = staged(shared.filter("a <> rep").groupBy("a", F.col("rep").alias("b")).agg(F.count("*").alias("bands")), "stars")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = staged(members.join(sizes, "bucket"), "shared")  # buckets of two or more
+    # The member that meets most others over all its buckets leads: in a family of copies of one text, that text.
+    meets = shared.groupBy("rep").agg(F.sum("n").alias("met"))
+    leaders = shared.join(meets, "rep").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("rep")).alias("low"))).alias("first"))
+    led = shared.join(leaders.select("bucket", (-F.col("first.low")).alias("leader")), "bucket").filter("leader <> rep")
+    stars = staged(led.groupBy(F.col("leader").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("bands")), "stars")
     nearest = Window.partitionBy("b").orderBy(F.col("bands").desc(), "a")  # a row for each band at most
     ranked = stars.withColumn("place", F.row_number().over(nearest))
     close = staged(close_by_signature(ranked.filter("place = 1").select("a", "b"), nodes, k, similarity), "close")
