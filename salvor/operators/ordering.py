@@ -25,11 +25,6 @@ def value_cell(value: Column, per_fold: int = 1024) -> Column:
     return F.coalesce(cell, F.lit(NULLS_LAST))
 
 
-def score_cell(score: Column, cells: int = 8192) -> Column:
-    """Cells for values in [0, 1]."""
-    return F.coalesce(F.floor(score * cells).cast("bigint"), F.lit(NULLS_LAST))
-
-
 def id_cell(row_id: Column, block: int = 1_000_000) -> Column:
     """Cells of ``block`` consecutive row numbers."""
     return F.coalesce(F.floor(row_id / F.lit(block)).cast("bigint"), F.lit(NULLS_LAST))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,10 +114,12 @@ def join_integrity(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> Data
     ]
     keys = list(DIMENSION_KEYS.values())
     before = fact.agg(F.count("*")).scalar()
-    # Touch a column of every dimension, or the joins would be pruned away.
+    # Count a column of every dimension; the counts guard the result, or the joins would be pruned away.
     touched = [F.count(F.col(next(c for c in d.columns if c not in keys))) for d in dimensions.values()]
     after = joined.agg(F.count("*").alias("joined_rows"), *[t.alias(f"_t{i}") for i, t in enumerate(touched)])
-    return after.select(before.alias("fact_rows"), "joined_rows", *brought)
+    guards = [F.col(f"_t{i}") >= 0 for i in range(len(touched))]
+    whole = F.when(reduce(and_, guards, F.lit(True)), F.col("joined_rows")).alias("joined_rows")
+    return after.select(before.alias("fact_rows"), whole, *brought)
 
 
 def feature_rules(df: DataFrame, selected: Iterable[str]) -> dict[str, Column]:

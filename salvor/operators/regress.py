@@ -101,7 +101,7 @@ def ranked_coefficients(metrics: DataFrame) -> DataFrame:
     return (
         metrics.filter(C("metric").startswith("coef_"))
         .select(
-            F.substring("metric", 6, 100).alias("feature"),
+            F.substring(C("metric"), F.lit(6), F.length("metric")).alias("feature"),
             C("value").alias("coefficient"),
             F.abs("value").alias("abs_coefficient"),
         )

@@ -63,8 +63,9 @@ def safety_quartiles(driver: DataFrame) -> DataFrame:
     """Median rating of each quartile group against the median of its gender.
 
     Works on the frequency table (gender, rating) only: equal ratings share a rank,
-    so no driver row is sorted.
+    so no driver row is sorted. Drivers without a gender belong to no group.
     """
+    driver = driver.filter(F.col("gender").isNotNull())
     ranks = O.percent_ranks(driver, "safety_rating", ["gender"]).withColumn(
         "group_label", quartile_label(F.col("p_rank"))
     )

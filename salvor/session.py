@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_made: list[str] = []
+
 
 def build(app: str = "salvor", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings every plan here assumes (UTC, ANSI, AQE)."""
@@ -33,6 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="salvor-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -42,4 +48,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A path no other run uses, below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch paths made so far. Call it when their queries are finished."""
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
