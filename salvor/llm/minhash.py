@@ -104,9 +104,9 @@ def dart_minhash(elements: list[np.ndarray], weights: list[np.ndarray], k: int)
 
 
 def signatures(docs: DataFrame, *, words: int, bands: int, rows: int, weighted: bool) -> DataFrame:
-    """doc_id, copy (digest of the words), bands (bucket of each band), sig (16 bits a coordinate)."""
+    """doc_id, copy (digest of the words), bands (bucket of each band), sig (16 bits a coordinate), size (weight of the set)."""
     k = bands * rows
-    schema = pa.schema([("doc_id", pa.int64()), ("copy", pa.string()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("copy", pa.string()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary()), ("size", pa.float64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(source):
@@ -121,9 +121,9 @@ def signatures(docs: DataFrame, *, words: int, bands: int, rows: int, weighted:
                 sig = (bits >> _U(48)).astype("<u2")
                 some = [len(e) > 0 for e, _, _ in found]
                 buckets = [b if s else [] for b, s in zip(bucket.view(np.int64).tolist(), some)]
-                yield arrow(schema, [ids[at : at + 64], [d for _, _, d in found], buckets, [s.tobytes() for s in sig]])
+                yield arrow(schema, [ids[at : at + 64], [d for _, _, d in found], buckets, [s.tobytes() for s in sig], [float(c.sum()) for c in sizes]])
 
-    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, "doc_id long, copy string, bands array<long>, sig binary")
+    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, "doc_id long, copy string, bands array<long>, sig binary, size double")
 
 
 def _agreeing(k: int, similarity: float) -> float:
@@ -224,7 +224,7 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     grid = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
     placed = sized.withColumn("own", own).withColumn("cell", F.explode(grid)).select("bucket", "cell.i", "cell.j", "own", "rep", "class")
-    placed = placed.join(reps.select("rep", "sig", "bands"), "rep").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    placed = placed.join(reps.select("rep", "sig", "bands", "size"), "rep").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
@@ -235,8 +235,11 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
             return
         sig = lambda part: np.frombuffer(b"".join(r[6] for r in part), "<u2").reshape(-1, k)
         kind, other, theirs = sig(right), np.array([r[5] for r in right]), np.array([r[7] for r in right])
+        sizes = np.array([r[8] for r in right])
         for row, mine in zip(left, sig(left)):
-            agree = np.flatnonzero(((kind == mine).sum(axis=1) >= least) & (other != row[5]))
+            # Sets whose sizes differ by more than the threshold cannot be similar.
+            fits = np.minimum(sizes, row[8]) >= similarity * np.maximum(sizes, row[8]) - 1e-9
+            agree = np.flatnonzero(((kind == mine).sum(axis=1) >= least) & (other != row[5]) & fits)
             if len(agree):
                 own_bands = np.array(row[7])
                 first = (theirs[agree] == own_bands).argmax(axis=1)
@@ -250,7 +253,7 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
         group: list[tuple] = []
         for batch in source:
             out = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "own", "rep", "class", "sig", "bands"))):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "own", "rep", "class", "sig", "bands", "size"))):
                 if group and group[0][:3] != row[:3]:
                     out += compare(group)
                     group = []
@@ -259,7 +262,7 @@ def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: floa
         if group:
             yield arrow(schema, list(zip(*compare(group))) or [[], []])
 
-    return placed.select("bucket", "i", "j", "own", "rep", "class", "sig", "bands").mapInArrow(run, "a long, b long").distinct()
+    return placed.select("bucket", "i", "j", "own", "rep", "class", "sig", "bands", "size").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False, block: int = BLOCK) -> DataFrame:
@@ -282,7 +285,7 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
     # Executors hold a few hundred signatures or sets at a time.
     signed = staged(signatures(docs, words=words, bands=bands, rows=rows, weighted=weighted), "signatures")
     copies = signed.groupBy("copy").agg(F.min("doc_id").alias("rep"))
-    nodes = staged(signed.join(copies.filter("rep is not null"), (signed["copy"] == copies["copy"]) & (signed["doc_id"] == copies["rep"])).select("rep", "bands", "sig").dropDuplicates(["rep"]), "nodes")
+    nodes = staged(signed.join(copies.filter("rep is not null"), (signed["copy"] == copies["copy"]) & (signed["doc_id"] == copies["rep"])).select("rep", "bands", "sig", "size").dropDuplicates(["rep"]), "nodes")
     members = nodes.select("rep", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = staged(members.join(sizes, "bucket"), "shared")  # buckets of two or more
