@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 
 import numpy as np
@@ -133,63 +133,64 @@ def _agreeing(k: int, similarity: float) -> float:
 
 
 def close_by_signature(pairs: DataFrame, reps: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in enough coordinates for the threshold, with the number."""
+    """Pairs (a, b) whose signatures agree in enough coordinates for the threshold."""
     least = _agreeing(k, similarity)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("agree", pa.int32())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, k) for c in ("sig_a", "sig_b"))
-            agree = (one == two).sum(axis=1)
-            good = np.flatnonzero(agree >= least)
-            a, b = (batch.column(c).to_numpy(zero_copy_only=False)[good] for c in ("a", "b"))
-            yield arrow(schema, [a, b, agree[good].astype(np.int32)])
+            good = np.flatnonzero((one == two).sum(axis=1) >= least)
+            yield arrow(schema, [batch.column(c).to_numpy(zero_copy_only=False)[good] for c in ("a", "b")])
 
     side = lambda n: reps.select(F.col("rep").alias(n), F.col("sig").alias(f"sig_{n}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, agree int")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def check_pairs(docs: DataFrame, pairs: DataFrame, *, words: int, similarity: float, weighted: bool) -> DataFrame:
-    """The pairs whose exact similarity reaches the threshold.
+def exact_sets(docs: DataFrame, nodes: DataFrame, *, words: int, weighted: bool) -> DataFrame:
+    """node, elements (its shingles as 8-byte hashes; with ``weighted``, one for each time a shingle occurs) of the
+    documents in ``nodes``.
 
-    Only texts in a pair are shingled again, and no text is shuffled: ids fall into SLOTS hash slots,
+    Only their texts are shingled again, and no text is shuffled: ids fall into SLOTS hash slots,
     and the slots in use (SLOTS rows at most, so the broadcast is bounded) pick the rows. The few
-    other rows that share a slot find no pair.
+    other rows that share a slot meet no node.
     """
     slot = lambda c: F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(SLOTS))
-    slots = pairs.select(slot("a").alias("slot")).union(pairs.select(slot("b"))).distinct()
+    slots = nodes.select(slot("node").alias("slot")).distinct()
     picked = docs.select("doc_id", "text").withColumn("slot", slot("doc_id")).join(F.broadcast(slots), "slot", "left_semi")
-    schema = pa.schema([("node", pa.int64()), ("elements", pa.binary()), ("weights", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("elements", pa.binary())])
 
     def sets(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in batches(source):
-            found = [word_shingles(t, words) for t in texts]
-            # Zero bytes for weights that are all one.
-            sizes = [c.astype("<u4").tobytes() if weighted else b"" for _, c, _ in found]
-            yield arrow(schema, [batch.column("doc_id").to_pylist(), [e.tobytes() for e, _, _ in found], sizes])
+            found = []
+            for elements, counts, _ in (word_shingles(t, words) for t in texts):
+                if weighted:
+                    level = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts.astype(np.int64))
+                    elements = mix64(np.repeat(elements, counts.astype(np.int64)) + level.astype(np.uint64) * _GOLDEN)
+                found.append(elements.tobytes())
+            yield arrow(schema, [batch.column("doc_id").to_pylist(), found])
+
+    shingled = by_batches(picked.selectExpr("cast(doc_id as bigint) doc_id", "text"), sets, "node long, elements binary")
+    return staged(shingled, "shingles")
 
-    shingled = by_batches(picked.selectExpr("cast(doc_id as bigint) doc_id", "text"), sets, "node long, elements binary, weights binary")
-    shingled = staged(shingled, "shingles")
+
+def check_pairs(docs: DataFrame, pairs: DataFrame, *, words: int, similarity: float, weighted: bool) -> DataFrame:
+    """The pairs whose exact similarity reaches the threshold."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    shingled = exact_sets(docs, nodes, words=words, weighted=weighted)
 
     def compare(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in source:
             rows = []
-            for a, b, ea, wa, eb, wb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "elements_a", "weights_a", "elements_b", "weights_b"))):
+            for a, b, ea, eb in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "elements_a", "elements_b"))):
                 one, two = np.frombuffer(ea, np.uint64), np.frombuffer(eb, np.uint64)
-                _, i, j = np.intersect1d(one, two, assume_unique=True, return_indices=True)
-                if weighted:
-                    x, y = np.frombuffer(wa, "<u4").astype(float), np.frombuffer(wb, "<u4").astype(float)
-                    shared, total = np.minimum(x[i], y[j]).sum(), x.sum() + y.sum()
-                else:
-                    shared, total = len(i), len(one) + len(two)
-                if shared >= similarity * (total - shared) - 1e-9:
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                if shared >= similarity * (len(one) + len(two) - shared) - 1e-9:
                     rows.append((a, b))
             yield arrow(links, list(zip(*rows)) or [[], []])
 
-    def side(n: str) -> DataFrame:
-        return shingled.select(F.col("node").alias(n), F.col("elements").alias(f"elements_{n}"), F.col("weights").alias(f"weights_{n}"))
-
+    side = lambda n: shingled.select(F.col("node").alias(n), F.col("elements").alias(f"elements_{n}"))
     return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -211,58 +212,124 @@ def components(edges: DataFrame) -> DataFrame:
         current = staged(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")
 
 
-def crossing_pairs(members: DataFrame, reps: DataFrame, k: int, similarity: float, block: int) -> DataFrame:
-    """Pairs of different classes inside one bucket whose signatures are close.
+def by_block(work, names: Sequence[str], schema: pa.Schema):
+    """A mapInArrow function: ``work`` on the rows of each (bucket, i, j), which stand together."""
 
-    members: bucket, rep, class. A bucket is cut into blocks of about ``block`` rows by hash, each pair of blocks
-    is compared as matrices by one task at a time, and only close pairs come out, each from the first
-    bucket that it shares.
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in source:
+            out = []
+            for row in zip(*(batch.column(c).to_pylist() for c in names)):
+                if group and group[0][:3] != row[:3]:
+                    out += work(group)
+                    group = []
+                group.append(row)
+            yield arrow(schema, list(zip(*out)) or [[] for _ in schema])
+        if group:
+            yield arrow(schema, list(zip(*work(group))) or [[] for _ in schema])
+
+    return run
+
+
+def sides(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """The rows of block i and those of block j, by column ``own``."""
+    i, j = rows[0][1:3]
+    left = [r for r in rows if r[3] == i]
+    return left, left if i == j else [r for r in rows if r[3] == j]
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of each set of ``left`` with each of ``right``: a product of 0-1 matrices over the
+    elements that both sides have, ``columns`` of them at a time."""
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+
+    def placed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        value, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(both, value), len(both) - 1)
+        known = both[at] == value
+        at, owner = at[known], owner[known]
+        order = np.argsort(at, kind="stable")
+        return at[order], owner[order]
+
+    total = np.zeros((len(left), len(right)))
+    if not len(both):
+        return total
+    (at_l, own_l), (at_r, own_r) = placed(left), placed(right)
+    for start in range(0, len(both), columns):
+        parts = []
+        for at, own, n in ((at_l, own_l, len(left)), (at_r, own_r, len(right))):
+            lo, hi = np.searchsorted(at, [start, start + columns])
+            part = np.zeros((n, min(columns, len(both) - start)), np.float32)
+            part[own[lo:hi], at[lo:hi] - start] = 1
+            parts.append(part)
+        total += parts[0] @ parts[1].T  # whole numbers up to ``columns``: exact
+    return total
+
+
+def crossing_links(docs: DataFrame, members: DataFrame, reps: DataFrame, k: int, *, words: int, similarity: float, weighted: bool, block: int) -> DataFrame:
+    """Links between different classes that meet in a bucket: enough of them to join all the classes that any
+    exactly similar pair of a bucket joins.
+
+    members: bucket, rep, class, size. A bucket is cut into blocks of about ``block`` rows and ``block`` * 4096 shingles at most
+    by hash, and each pair of blocks is one group of a task. First, signatures are compared as matrices, and the rows
+    with a close partner of another class go on, each pair in the first bucket that it shares. Then their
+    sets are compared exactly, also as matrices, and one link for each two classes that a block joins comes out. No
+    pair is a row, so the rows grow with the members and not with their pairs.
     """
     least = _agreeing(k, similarity)
-    # Two bytes a coordinate; the bucket's size gives the number of its blocks.
-    sized = members.join(members.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "bucket")
+    weight = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / (block * 4096))).cast("int")
+    sized = members.join(members.groupBy("bucket").agg(weight.alias("blocks")), "bucket")
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     grid = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("own"), j).alias("i"), F.greatest(F.col("own"), j).alias("j")))
-    placed = sized.withColumn("own", own).withColumn("cell", F.explode(grid)).select("bucket", "cell.i", "cell.j", "own", "rep", "class")
-    placed = placed.join(reps.select("rep", "sig", "bands", "size"), "rep").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    placed = sized.withColumn("own", own).withColumn("cell", F.explode(grid)).select("bucket", "cell.i", "cell.j", "own", "rep", "class", "size")
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
-    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        i, j = rows[0][1:3]
-        left = [r for r in rows if r[3] == i]
-        right = left if i == j else [r for r in rows if r[3] == j]
+    def close(rows: list[tuple]) -> list[tuple]:
+        left, right = sides(rows)
         if not left or not right:
-            return
+            return []
         sig = lambda part: np.frombuffer(b"".join(r[6] for r in part), "<u2").reshape(-1, k)
         kind, other, theirs = sig(right), np.array([r[5] for r in right]), np.array([r[7] for r in right])
-        sizes = np.array([r[8] for r in right])
+        sizes, wanted = np.array([r[8] for r in right]), set()
         for row, mine in zip(left, sig(left)):
             # Sets whose sizes differ by more than the threshold cannot be similar.
             fits = np.minimum(sizes, row[8]) >= similarity * np.maximum(sizes, row[8]) - 1e-9
             agree = np.flatnonzero(((kind == mine).sum(axis=1) >= least) & (other != row[5]) & fits)
             if len(agree):
                 own_bands = np.array(row[7])
-                first = (theirs[agree] == own_bands).argmax(axis=1)
-                agree = agree[own_bands[first] == rows[0][0]]
-            for at in agree:
-                a, b = row[4], right[at][4]
-                if i != j or a < b:
-                    yield min(a, b), max(a, b)
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        for batch in source:
-            out = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "own", "rep", "class", "sig", "bands", "size"))):
-                if group and group[0][:3] != row[:3]:
-                    out += compare(group)
-                    group = []
-                group.append(row)
-            yield arrow(schema, list(zip(*out)) or [[], []])
-        if group:
-            yield arrow(schema, list(zip(*compare(group))) or [[], []])
+                agree = agree[own_bands[(theirs[agree] == own_bands).argmax(axis=1)] == row[0]]
+            if len(agree):
+                wanted |= {row[:6], *(right[at][:6] for at in agree)}
+        return list(wanted)
 
-    return placed.select("bucket", "i", "j", "own", "rep", "class", "sig", "bands", "size").mapInArrow(run, "a long, b long").distinct()
+    def link(rows: list[tuple]) -> list[tuple]:
+        left, right = sides(rows)
+        if not left or not right:
+            return []
+        one, two = ([np.frombuffer(r[6], np.uint64) for r in part] for part in (left, right))
+        shared = shared_counts(one, two)
+        total = np.array([len(x) for x in one])[:, None] + np.array([len(x) for x in two])[None, :]
+        linked = shared >= similarity * (total - shared) - 1e-9
+        # Classes joined so far carry the same label.
+        names, label = np.unique([r[5] for part in (left, right) for r in part], return_inverse=True)
+        root, found = np.arange(len(names)), []
+        for at, row in enumerate(left):
+            partners = np.flatnonzero(linked[at])
+            while len(partners := partners[root[label[len(left) + partners]] != root[label[at]]]):
+                found.append((row[4], right[partners[0]][4]))
+                root[root == root[label[len(left) + partners[0]]]] = root[label[at]]
+        return [(min(p), max(p)) for p in found]
+
+    cells, types = ["bucket", "i", "j", "own", "rep", "class"], [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    signed = together(placed.join(reps.select("rep", "sig", "bands"), "rep").select(*cells, "sig", "bands", "size"))
+    near = by_block(close, [*cells, "sig", "bands", "size"], pa.schema(list(zip(cells, types))))
+    kept = staged(signed.mapInArrow(near, "bucket long, i int, j int, own int, rep long, class long"), "crossing")
+    sets = exact_sets(docs, kept.select(F.col("rep").alias("node")), words=words, weighted=weighted)
+    whole = together(kept.join(sets, kept["rep"] == sets["node"]).select(*cells, "elements"))
+    exact = by_block(link, [*cells, "elements"], pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    return whole.mapInArrow(exact, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighted: bool = False, block: int = BLOCK) -> DataFrame:
@@ -272,9 +339,9 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
     1. Texts with equal words are one node, that of the smallest id (copy_of).
     2. In each bucket of each band, every member is paired with one leader. The partner that a member shares
        most bands with is checked, by signature and then exactly, and links become classes.
-    3. Other pairs matter only between classes: the remaining star pairs, and all pairs of different classes in
-       a bucket (in blocks, compared as matrices, close ones alone come out). They are checked
-       exactly too, so every pair that shares a bucket is linked, in one class, or not similar.
+    3. Other pairs matter only between classes: all pairs of different classes in a bucket are compared in
+       blocks, as matrices, by signature and then exactly, so every pair that shares a bucket is in one
+       class or not similar.
 
     Null text is the empty text. Texts without words are copies of each other and similar to no other; of one to four words,
     the text is its only shingle. Rows of one id are one document, and a missing id has no class. An empty
@@ -286,31 +353,23 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
     signed = staged(signatures(docs, words=words, bands=bands, rows=rows, weighted=weighted), "signatures")
     copies = signed.groupBy("copy").agg(F.min("doc_id").alias("rep"))
     nodes = staged(signed.join(copies.filter("rep is not null"), (signed["copy"] == copies["copy"]) & (signed["doc_id"] == copies["rep"])).select("rep", "bands", "sig", "size").dropDuplicates(["rep"]), "nodes")
-    members = nodes.select("rep", F.explode("bands").alias("bucket"))
+    members = nodes.select("rep", "size", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = staged(members.join(sizes, "bucket"), "shared")  # buckets of two or more
     # The member that meets most others over all its buckets leads: in a family of copies of one text, that text.
     meets = shared.groupBy("rep").agg(F.sum("n").alias("met"))
     leaders = shared.join(meets, "rep").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("rep")).alias("low"))).alias("first"))
     led = shared.join(leaders.select("bucket", (-F.col("first.low")).alias("leader")), "bucket").filter("leader <> rep")
-    stars = staged(led.groupBy(F.col("leader").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("bands")), "stars")
+    stars = led.groupBy(F.col("leader").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("bands"))
     nearest = Window.partitionBy("b").orderBy(F.col("bands").desc(), "a")  # a row for each band at most
-    ranked = stars.withColumn("place", F.row_number().over(nearest))
-    close = staged(close_by_signature(ranked.filter("place = 1").select("a", "b"), nodes, k, similarity), "close")
+    first = stars.withColumn("place", F.row_number().over(nearest)).filter("place = 1").select("a", "b")
+    close = staged(close_by_signature(first, nodes, k, similarity), "close")
     links = staged(check_pairs(docs, close, **options), "links")
     classes = components(links)
-
-    def classed(frame: DataFrame, node: str, name: str) -> DataFrame:
-        side = classes.select(F.col("node").alias(node), F.col("root").alias("_root"))
-        return frame.join(side, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
-
-    rest = classed(classed(ranked.filter("place > 1").select("a", "b"), "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
-    rest = close_by_signature(staged(rest, "rest"), nodes, k, similarity).select("a", "b")
-    inside = classed(shared.select("bucket", "rep"), "rep", "class")
+    root = classes.select(F.col("node").alias("rep"), "root")
+    inside = shared.select("bucket", "rep", "size").join(root, "rep", "left").select("bucket", "rep", "size", F.coalesce("root", "rep").alias("class"))
     mixed = inside.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi").select("bucket")
-    crossing = crossing_pairs(inside.join(mixed, "bucket"), nodes, k, similarity, block)
-    more = staged(rest.union(crossing).distinct(), "crossing")
-    links = links.union(check_pairs(docs, more, **options))
+    links = links.union(crossing_links(docs, inside.join(mixed, "bucket"), nodes, k, block=block, **options))
     classes = components(links)
     of_copy = signed.select("doc_id", "copy").join(copies, "copy").select("doc_id", F.col("rep").alias("copy_of"))
     roots = classes.select(F.col("node").alias("copy_of"), "root")

@@ -377,3 +377,23 @@ def test_pipeline_on_an_empty_table(spark, none):
     for _, stage in corpus_pipeline.STAGES:
         frame = staged(stage(spark, frame, FOLDER), "empty")
     assert frame.count() == 0
+
+
+def test_shared_counts_are_intersections():
+    pick = np.random.default_rng(5)
+    sets = [np.unique(pick.integers(0, 300, size)).astype(np.uint64) for size in (0, 1, 40, 200, 299)]
+    by_hand = [[len(np.intersect1d(a, b)) for b in sets[1:]] for a in sets]
+    assert minhash.shared_counts(sets, sets[1:], columns=16).tolist() == by_hand
+    assert minhash.shared_counts(sets[:1], sets[:2]).tolist() == [[0, 0]]
+
+
+def test_weighted_classes_count_repeats(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = {1: " ".join(words), 2: " ".join(words[:59] + ["z"]), 3: " ".join(words * 3), 4: " ".join(words * 3 + ["z"])}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+
+    def found(weighted):
+        return {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(frame, weighted=weighted).collect()}
+
+    assert found(False) == {1: 1, 2: 1, 3: 1, 4: 1}
+    assert found(True) == {1: 1, 2: 1, 3: 3, 4: 3}
