@@ -68,12 +68,12 @@ def _payout(truthy: str, used: list[str]) -> dict[str, str]:
     rows.append("select 'intercept', my - (" + " + ".join(f"w{i} * m{i}" for i in range(len(used))) + ") from inv")
     return {
         "fr": _payout_frame(truthy),
-        "tr": "select * from fr where not ((claim_number * 7919 + 42) % 100 < 20)",
+        "tr": "select * from fr where left(md5('42:' || claim_number), 8) >= '33333333'",
         **solve("tr", used, "claim_est_payout"),
         "e": f"""select avg((claim_est_payout - g) ** 2) as mse,
           1 - avg((claim_est_payout - g) ** 2) / var_pop(claim_est_payout) as r2
           from (select claim_est_payout, my + {guess} as g from fr, inv
-                where (claim_number * 7919 + 42) % 100 < 20)""",
+                where left(md5('42:' || claim_number), 8) < '33333333')""",
         "r": "\nunion all\n".join(rows),
     }
 

@@ -61,13 +61,13 @@ STAR = {
   left join driver d on c.driver_key = d.driver_key""",
     "scored": """
   select claim_number, claim_date, claim_est_payout, liab_prct, claim_day_of_week,
-    case when claim_number * 7919 % 100 < 20 then 1 - rule else rule end as y,
+    case when left(md5('label:' || claim_number), 8) < '19999999' then 1 - rule else rule end as y,
     (100 - liab_prct) / 250.0::double + (w * 3 + q) / 20.0::double + (claim_number % 97) / 1000.0::double as p_a,
     (100 - liab_prct) / 250.0::double + (w + q) / 10.0::double + (claim_number % 89) / 500.0::double as p_b,
     ((100 - liab_prct) / 250.0::double * 2 + (claim_number % 83) / 100.0::double) / 2.0::double as p_c
   from (select *, case when witness_present_ind = 'Y' then 1 else 0 end as w,
           policy_report_filed_ind as q,
-          case when liab_prct < 35 and (witness_present_ind = 'Y' or policy_report_filed_ind = 1)
+          case when liab_prct < 25 and (witness_present_ind = 'Y' or policy_report_filed_ind = 1)
                then 1 else 0 end as rule
         from claim)""",
 }

@@ -97,3 +97,13 @@ def display_money(c: Column | str) -> Column:
     value = _col(c)
     finite = F.abs(value) < F.lit(float("inf"))
     return F.when(finite, F.format_number(F.round(value, 0), 0)).otherwise(F.lit("-"))
+
+
+def digest(key: Column, seed: int | str, digits: int = 8) -> Column:
+    """First hex digits of md5 of "seed:key": a uniform text that any engine with md5 can state."""
+    return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"))), 1, digits)
+
+
+def digest_below(key: Column, seed: int | str, percent: int) -> Column:
+    """A pick of ``percent`` % of the keys by their digest."""
+    return digest(key, seed) < f"{percent * 2**32 // 100:08x}" if percent < 100 else F.lit(True)

@@ -3,7 +3,8 @@
 Every row gets a cell that never decreases in the sort order. A histogram of the
 cells (small) gives each cell the weight that lies before it, and only the rows of
 one cell are sorted together: a group that holds a third of all rows is spread over
-its cells. Cells come from the value alone, so no extra pass finds the value range.
+its cells. Cells of numbers and hashes come from the value alone, so no extra pass finds
+the value range; those of texts come from sampled bounds.
 Rows should be distinct in the sort order (group first): one repeated value is then
 one row with a weight and not a crowded cell.
 """
@@ -15,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salvor.operators.sizes import settled
+
 NULLS_LAST = 2**62
 
 
@@ -30,14 +33,16 @@ def id_cell(row_id: Column, block: int = 1_000_000) -> Column:
     return F.coalesce(F.floor(row_id / F.lit(block)).cast("bigint"), F.lit(NULLS_LAST))
 
 
-def hash_cell(hashed: Column, bits: int = 12) -> Column:
-    """Equal cells for a uniform 64-bit hash."""
-    return F.shiftright(hashed, 64 - bits)
+def hash_cell(hashed: Column, bits: int = 20, width: int = 64) -> Column:
+    """Equal cells for a uniform hash of ``width`` bits; a million of them hold 100,000 rows each at 10^11 rows."""
+    return F.shiftright(hashed, width - bits)
 
 
-def text_cell(value: Column, characters: int = 3) -> Column:
-    """Cells by leading characters, which follow the text order."""
-    return F.coalesce(F.substring(value, 1, characters), F.lit(""))
+def ranged(df: DataFrame, order: Sequence[str], into: str, parts: int | None = None) -> DataFrame:
+    """Add a cell that follows ``order``, from bounds that Spark samples, so that cells have even sizes for any
+    values. The frame is kept, as a second sampling could set other bounds."""
+    dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    return settled(dealt.withColumn(into, F.spark_partition_id()))
 
 
 def _weights(weights: dict[str, Column | str]) -> dict[str, Column]:

@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salvor.operators.ordering import hash_cell, number_rows, text_cell
+from salvor.functions.scalars import digest, digest_below
+from salvor.operators.ordering import hash_cell, number_rows, ranged
 from salvor.operators.sizes import beside, measured, settled
 
 C = F.col
@@ -32,8 +33,8 @@ def hold_out_split(df: DataFrame, year: int, month: int, label: str = "subrogati
 
 
 def hash_split(key: str, percent: int, seed: int = 42) -> Column:
-    """Repeatable pick of about ``percent`` % of rows by their key, on any partitioning."""
-    return F.pmod(C(key) * 7919 + seed, F.lit(100)) < percent
+    """Repeatable pick of about ``percent`` % of rows by a digest of their key, on any partitioning."""
+    return digest_below(C(key), seed, percent)
 
 
 def encoding_tables(
@@ -84,8 +85,8 @@ def target_encode(
 def label_codes(frames: Sequence[DataFrame], column: str) -> DataFrame:
     """(column, code): categories of all frames in text order, numbered from 0."""
     values = reduce(DataFrame.unionByName, [f.select(C(column).cast("string").alias(column)) for f in frames])
-    distinct = values.filter(C(column).isNotNull()).distinct()
-    return number_rows(distinct, [column], text_cell(C(column)), "code", start=0)
+    distinct = ranged(values.filter(C(column).isNotNull()).distinct(), [column], "_range")
+    return number_rows(distinct, [column], C("_range"), "code", start=0).drop("_range")
 
 
 def label_encode(
@@ -103,12 +104,12 @@ def label_encode(
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Add ``fold`` 0..k-1: classes are dealt out evenly in hashed order.
+    """Add ``fold`` 0..k-1: classes are dealt out evenly in the order of a digest of the key.
 
-    Each class is numbered cell by cell of its hash, so two classes still use every task.
+    Each class is numbered cell by cell of its digest, so two classes still use every task.
     """
-    hashed = df.withColumn("_h", F.xxhash64(C(key), F.lit(seed)))
-    numbered = number_rows(hashed, ["_h", key], hash_cell(C("_h")), "_rn", start=0, by=[label])
+    hashed = df.withColumn("_h", F.conv(digest(C(key), seed, 15), 16, 10).cast("bigint"))
+    numbered = number_rows(hashed, ["_h", key], hash_cell(C("_h"), width=60), "_rn", start=0, by=[label])
     return numbered.withColumn("fold", F.pmod("_rn", F.lit(k)).cast("int")).drop("_h", "_rn")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salvor import schema as S
-from salvor.functions.scalars import flag
+from salvor.functions.scalars import digest_below, flag
 
 DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 HOLD_OUT = (2000, 9)
@@ -23,10 +23,10 @@ def _conform(df: DataFrame, table_schema) -> DataFrame:
 
 
 def learnable_label() -> Column:
-    """A label that depends on liability and evidence, with a fifth of the rows flipped."""
+    """A label that depends on liability and evidence, with a tenth of the rows flipped: about a quarter are 1."""
     evidence = (F.col("witness_present_ind") == "Y") | (F.col("policy_report_filed_ind") == 1)
-    rule = flag((F.col("liab_prct") < 35) & evidence)
-    return F.when(F.col("claim_number") * 7919 % 100 < 20, 1 - rule).otherwise(rule)
+    rule = flag((F.col("liab_prct") < 25) & evidence)
+    return F.when(digest_below(F.col("claim_number"), "label", 10), 1 - rule).otherwise(rule)
 
 
 class Star:

@@ -56,5 +56,13 @@ def test_numbers_are_dense_on_any_partitioning(spark, parts):
 def test_text_numbers_follow_text_order(spark):
     words = ["b", "", "abcd", "abce", "ä", "z", "abc"]
     df = frame(spark, [(w,) for w in words], "w string")
-    got = O.number_rows(df, ["w"], O.text_cell(F.col("w")), "n", start=0).orderBy("n")
+    got = O.number_rows(O.ranged(df, ["w"], "c"), ["w"], F.col("c"), "n", start=0).orderBy("n")
     assert [r["w"] for r in got.collect()] == sorted(words, key=lambda w: w.encode())
+
+
+def test_texts_of_one_prefix_have_even_cells(spark):
+    df = spark.range(100_000).select(F.format_string("multi_vehicle_%06d", "id").alias("w"), "id")
+    cells = O.ranged(df, ["w"], "c", parts=16)
+    sizes = [r["count"] for r in cells.groupBy("c").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 100_000 / 16
+    assert O.number_rows(cells, ["w"], F.col("c"), "n", start=0).filter("n <> id").count() == 0

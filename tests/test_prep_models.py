@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salvor.entries import training
+from salvor.functions.scalars import digest_below
 from salvor.operators import classify as K
 from salvor.operators import evaluate as V
 from salvor.operators import prep as P
@@ -40,6 +41,24 @@ def test_folds_are_even_per_class_and_repeatable(spark, k):
     assert first.exceptAll(other.select(first.columns)).count() > 0
 
 
+def test_hash_split_is_apart_from_the_label_noise(spark):
+    df = spark.range(20_000).withColumn("flipped", digest_below(F.col("id"), "label", 10).cast("int"))
+    held = df.groupBy(P.hash_split("id", 20).alias("held")).agg(F.count("*").alias("n"), F.avg("flipped").alias("share"))
+    got = {r["held"]: r for r in held.collect()}
+    assert abs(got[True]["n"] / 20_000 - 0.2) < 0.01
+    assert abs(got[True]["share"] - 0.1) < 0.015 and abs(got[False]["share"] - 0.1) < 0.01
+
+
+def test_every_fold_gets_synthetic_rows(star):
+    train = star.scored.select("claim_number", F.col("y").alias("subrogation"), "liab_prct", "claim_est_payout")
+    data = P.stratified_folds(train, "claim_number", "subrogation")
+    for fold in range(5):
+        rows = data.filter(F.col("fold") != fold)
+        n = {r["subrogation"]: r["count"] for r in rows.groupBy("subrogation").count().collect()}
+        grown = M.smote(rows, "claim_number", "subrogation", ["liab_prct", "claim_est_payout"], ratio=0.5)
+        assert grown.filter("synthetic = 1").count() == int(0.5 * n[0] - n[1]) > 0
+
+
 def test_december_hold_out(spark):
     df = spark.sql("SELECT timestamp_ntz'2000-12-31 23:59:59' AS claim_date, 1 AS subrogation UNION ALL "
                    "SELECT timestamp_ntz'2001-01-01 00:00:00', 1 UNION ALL SELECT null, 0 UNION ALL SELECT null, null")
