@@ -71,6 +71,8 @@ def target_encode(
 ) -> list[DataFrame]:
     """Add ``<column>_te`` to every frame from the training statistics; a category the
     training frame lacks, or a missing one, takes the overall mean."""
+    if not columns:
+        return list(frames)
     tables, overall = encoding_tables(train, columns, label, smoothing)
     encoded = []
     for frame in frames:
