@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salvor.functions.stats import count_where
-from salvor.operators.ordering import running_position, value_cell
+from salvor.operators.ordering import ranged, running_position
 from salvor.operators.sizes import beside, settled
 
 C = F.col
@@ -150,14 +150,14 @@ def classification_report(df: DataFrame, pred: str, label: str) -> DataFrame:
 def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, auc) with ties counted half, exact.
 
-    Equal scores are grouped first; the negatives below each score come from the cell
-    histogram, so a long list of distinct scores is never sorted in one task.
+    Equal scores are grouped first; the negatives below each score come from the histogram of
+    sampled ranges, so a long list of distinct scores is never sorted in one task, however close they sit.
     """
     groups = df.groupBy(*by, score).agg(
         count_where(C(label) == 1).alias("pos"), count_where(C(label) == 0).alias("neg")
     )
-    # Scores sit close together: many cells per unit.
-    placed = running_position(groups, [score], value_cell(C(score), 16384), {"neg": "neg", "pos": "pos"}, by=by)
+    cells = ranged(groups, [*by, C(score).asc_nulls_last()], "_range")
+    placed = running_position(cells, [score], C("_range"), {"neg": "neg", "pos": "pos"}, by=by)
     pairs = C("pos") * (C("neg_before") + C("neg") / 2.0)
     return placed.groupBy(*by).agg(
         F.try_divide(F.sum(pairs), F.max("pos_total").cast("double") * F.max("neg_total")).alias("auc")

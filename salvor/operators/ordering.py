@@ -4,7 +4,7 @@ Every row gets a cell that never decreases in the sort order. A histogram of the
 cells (small) gives each cell the weight that lies before it, and only the rows of
 one cell are sorted together: a group that holds a third of all rows is spread over
 its cells. Cells of numbers and hashes come from the value alone, so no extra pass finds
-the value range; those of texts come from sampled bounds.
+the value range; those of texts and of scores, which sit close together, come from sampled bounds.
 Rows should be distinct in the sort order (group first): one repeated value is then
 one row with a weight and not a crowded cell.
 """
@@ -38,7 +38,7 @@ def hash_cell(hashed: Column, bits: int = 20, width: int = 64) -> Column:
     return F.shiftright(hashed, width - bits)
 
 
-def ranged(df: DataFrame, order: Sequence[str], into: str, parts: int | None = None) -> DataFrame:
+def ranged(df: DataFrame, order: Sequence[Column | str], into: str, parts: int | None = None) -> DataFrame:
     """Add a cell that follows ``order``, from bounds that Spark samples, so that cells have even sizes for any
     values. The frame is kept, as a second sampling could set other bounds."""
     dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
