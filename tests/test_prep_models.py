@@ -117,6 +117,18 @@ def test_auc_counts_ties_half(spark):
     assert V.roc_auc(df, "p", "y").first()["auc"] == 0.875
 
 
+def test_auc_of_scores_within_a_millionth(spark):
+    df = spark.range(4000).selectExpr("0.5 + id * 1e-10 as p", "cast(id >= 1000 and id % 2 = 1 as int) as y", "id % 3 as g")
+    for part in (df, df.filter("g = 1")):
+        negatives, below = 0, 0
+        for r in part.orderBy("p").collect():
+            below += negatives * r["y"]
+            negatives += 1 - r["y"]
+        auc = below / (negatives * part.filter("y = 1").count())
+        assert abs(V.roc_auc(part, "p", "y").first()["auc"] - auc) < 1e-12
+    assert V.roc_auc(df, "p", "y", by=["g"]).count() == 3
+
+
 def test_report_shows_missing_test_metrics(spark):
     row = spark.createDataFrame(
         [(0.5, 0.6, None, None, 0.32, 27)],
