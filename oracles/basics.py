@@ -58,6 +58,7 @@ ORACLES |= {
     ),
     "snk02": ANALYSES["acc11"],
     "snk03": over("claim", "select * from claim where year(claim_date) = 2000 and month(claim_date) = 9"),
+    "snk03_all": over("claim", "select *, strftime(claim_date, '%Y-%m') as claim_month from claim"),
 }
 
 # --- normalisation ---

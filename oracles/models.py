@@ -185,6 +185,17 @@ ORACLES = {
         **_METRICS,
     ),
 }
+ORACLES["snk05_lines"] = over(
+    "scored",
+    """select cast(unnest(range(11)) as integer) as line_number, unnest([repeat('=', 45), 'Claim model execution report',
+      repeat('=', 45), 'Model performance:',
+      '- Training F1 score: ' || format('{:.4f}', train_f1), '- Training AUC: ' || format('{:.4f}', train_auc),
+      '- Test F1 score: ' || format('{:.4f}', test_f1), '- Test AUC: ' || format('{:.4f}', test_auc),
+      '- Best threshold: ' || format('{:.3f}', best_threshold), '- Features used: ' || n_features,
+      repeat('=', 45)]) as value
+    from m""",
+    **_METRICS,
+)
 ORACLES |= {
     f"ml08_{n}": over("scored", f"select step, tp, fp, fn, round(f1, 9) as f1 from ({_sweep(g)})")
     for n, g in (("ensemble", ENSEMBLE), ("search", SEARCH), ("single", SINGLE))

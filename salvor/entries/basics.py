@@ -94,13 +94,18 @@ def csv_round_trip(s):
     return files.read_csv(s.spark, path, result.schema)
 
 
-def parquet_stage(s):
-    """Stage claims by month, then read the hold-out month through its partition."""
+def staged_by_month(s):
+    """Claims staged by month and read back whole, with the month of their partition."""
     path = scratch(s.spark, "stage")
     month = F.date_format(C("claim_date").cast("timestamp"), "yyyy-MM")
     files.write_stage(s.claim.withColumn("claim_month", month), path, "claim_month")
+    return files.read_stage(s.spark, path)
+
+
+def parquet_stage(s):
+    """Stage claims by month, then read the hold-out month through its partition."""
     year, number = HOLD_OUT
-    return files.read_stage(s.spark, path).filter(C("claim_month") == f"{year}-{number:02d}").drop("claim_month")
+    return staged_by_month(s).filter(C("claim_month") == f"{year}-{number:02d}").drop("claim_month")
 
 
 QUERIES = {f"src01_{name}": partial(csv_scan, name=name) for name in S.TABLES}
@@ -114,6 +119,7 @@ QUERIES |= {
     "snk01": staged,
     "snk02": csv_round_trip,
     "snk03": parquet_stage,
+    "snk03_all": staged_by_month,
 }
 
 

@@ -156,6 +156,15 @@ def report_as_text(s):
     return s.spark.read.text(path).filter("value NOT LIKE '=%'")
 
 
+def report_file_lines(s):
+    """Every line of the report with its place in the file. A report is a dozen lines, so it is one file."""
+    path = scratch(s.spark, "report")
+    lines = V.report_lines(metrics(s)).coalesce(1).sortWithinPartitions("line_number")
+    files.write_lines(lines.select("value"), path)
+    content = F.split(F.regexp_replace("value", r"\n\z", ""), "\n")
+    return s.spark.read.text(path, wholetext=True).select(F.posexplode(content).alias("line_number", "value"))
+
+
 # --- triage ------------------------------------------------------------------
 
 
@@ -205,6 +214,7 @@ QUERIES = {
     "ml14": metrics,
     "snk04": metrics_as_json,
     "snk05": report_as_text,
+    "snk05_lines": report_file_lines,
     "tri01": _triage("prob", "band", "band_label", "band_summary"),
     "tri02": _triage("expected", "roi"),
     "tri03": _triage("score", "priority", "action"),
