@@ -20,12 +20,13 @@ LINE_END = "\r\n"
 RECORD_END = "\r\n\r\n"
 VERSION = "WARC/1.1"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+HTTP_HEADERS_END = re.compile(rb"\r?\n\r?\n")
 GZIP_START = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 RECORDS_A_FILE = 2000
-RECORD = "archive string, start long, size long, record_id string, record_type string, uri string, page_id long, refers_to long, payload_bytes long, payload_digest string, payload binary"
+RECORD = "archive string, start long, size long, record_id string, record_type string, uri string, page_id long, refers_to long, payload_bytes long, payload_digest string, payload binary, http_headers binary"
 GAP = "archive string, start long, size long, reason string"
 
 
@@ -120,27 +121,82 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         raise Damaged("record does not end at its length")
     block = data[start:stop]
     digest = headers.get("warc-payload-digest", "")
-    if headers["warc-type"] == "response" and digest.startswith("sha1:") and digest[5:] != sha1_base32(block):
+    if headers["warc-type"] == "response" and digest.startswith("sha1:") and digest[5:] != sha1_base32(payload(headers, block)):
         raise Damaged("payload digest differs")
     return headers, block, stop + 4
 
 
+def payload(headers: dict[str, str], block: bytes) -> bytes:
+    """The part of a block that the payload digest covers: of an HTTP message the body after its headers,
+    with transfer coding as stored; of anything else the block. A message whose headers do not end has no body."""
+    if headers.get("content-type", "").partition(";")[0].strip().lower() != "application/http":
+        return block
+    end = HTTP_HEADERS_END.search(block)
+    return block[end.end() :] if end else b""
+
+
 def sha1_base32(block: bytes) -> str:
     return base64.b32encode(hashlib.sha1(block).digest()).decode()
 
 
-def gzip_member(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content and end of the member at ``at``; read in steps, so the bytes after it are not copied."""
+def gzip_member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """Content, end and failure ('' if none) of the member at ``at``. A damaged member gives what unpacks before the
+    failure, and its end is not known. Read in steps, so the bytes after it are not copied, and the steps of a
+    damaged member are unpacked again in small ones, as a failing step gives nothing."""
     unpack, view, parts, step = zlib.decompressobj(31), memoryview(data), [], 1 << 16
-    try:
-        while not unpack.eof:
-            if at >= len(data):
-                raise Damaged("gzip member does not end")
+    while not unpack.eof:
+        if at >= len(data):
+            return b"".join([*parts, unpack.flush()]), at, "gzip member does not end"
+        before = unpack.copy()
+        try:
             parts.append(unpack.decompress(view[at : at + step]))
-            at += step
-    except zlib.error as error:
-        raise Damaged(f"gzip: {error}") from error
-    return b"".join(parts), min(at, len(data)) - len(unpack.unused_data)
+        except zlib.error as error:
+            return b"".join([*parts, *_until_failure(before, view[at : at + step])]), at, f"gzip: {error}"
+        at += step
+    return b"".join(parts), min(at, len(data)) - len(unpack.unused_data), ""
+
+
+def _until_failure(unpack, view: memoryview) -> Iterator[bytes]:
+    try:
+        for i in range(len(view)):
+            yield unpack.decompress(view[i : i + 1])
+    except zlib.error:
+        return
+
+
+def unpacked_by(data: bytes, at: int, length: int) -> int:
+    """Where in ``data`` the member at ``at`` has given ``length`` bytes."""
+    unpack, view, step = zlib.decompressobj(31), memoryview(data), 1 << 16
+    while True:
+        before = unpack.copy()
+        try:
+            size = len(unpack.decompress(view[at : at + step]))
+        except zlib.error:
+            size = length
+        if size >= length:
+            break
+        length, at = length - size, at + step
+    for i, part in enumerate(_until_failure(before, view[at : at + step]), 1):
+        length -= len(part)
+        if length <= 0:
+            return at + i
+    raise AssertionError("the member gives fewer bytes")
+
+
+def records_of(content: bytes) -> tuple[list[tuple[dict, bytes]], int, str]:
+    """The (headers, block) of every record in ``content`` that passes the checks, the end of the last one, and the
+    first failure or ''."""
+    found, last, reason, at = [], 0, "", 0
+    while at < len(content):
+        try:
+            headers, block, at = parse_record(content, at)
+            found.append((headers, block))
+            last = at
+        except Damaged as error:
+            reason = reason or str(error)
+            line = VERSION_LINE.search(content, at + 1)
+            at = line.start() if line else len(content)
+    return found, last, reason
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str, bytes]]:
@@ -148,35 +204,38 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str, bytes]]:
 
     Where a check fails, the search goes on one byte later for the next version line or gzip member that
     passes every check; the bytes between are one quarantined gap with the first failure as reason.
+
+    Inside a gzip member the search goes on in the unpacked bytes. The records of a member all have its range. A
+    member that holds a bad record, or does not unpack to its end, is a gap as a whole, and the records saved from
+    it come out before the gap; the search then goes on after the bytes that gave them.
     """
     at, bad_from, reason = 0, None, ""
     while at < len(data):
-        found = []
-        try:
-            if data.startswith(GZIP_START, at):
-                content, end = gzip_member(data, at)
-                inner = 0
-                while inner < len(content):
-                    headers, block, inner = parse_record(content, inner)
-                    found.append((headers, block))
-                if not found:
-                    raise Damaged("empty gzip member")
-            else:
+        found, end, failure = [], at + 1, ""
+        if data.startswith(GZIP_START, at):
+            content, stop, broken = gzip_member(data, at)
+            found, last, failure = records_of(content)
+            failure = broken or failure or ("" if found else "empty gzip member")
+            if found:
+                end = unpacked_by(data, at, last) if broken else stop
+        else:
+            try:
                 headers, block, end = parse_record(data, at)
                 found.append((headers, block))
-        except Damaged as error:
-            if bad_from is None:
-                bad_from, reason = at, str(error)
-            line = VERSION_LINE.search(data, at + 1)
-            member = data.find(GZIP_START, at + 1)
-            places = [p for p in (line.start() if line else -1, member) if p >= 0]
-            at = min(places, default=len(data))
-            continue
-        if bad_from is not None:
+            except Damaged as error:
+                failure = str(error)
+        if bad_from is not None and not failure:
             yield "gap", bad_from, at - bad_from, reason, b""
             bad_from = None
         for headers, block in found:
             yield "record", at, end - at, headers, block
+        if failure:
+            if bad_from is None:
+                bad_from, reason = at, failure
+            line = VERSION_LINE.search(data, end)
+            member = data.find(GZIP_START, end)
+            places = [p for p in (line.start() if line else -1, member) if p >= 0]
+            end = min(places, default=len(data))
         at = end
     if bad_from is not None:
         yield "gap", bad_from, len(data) - bad_from, reason, b""
@@ -191,14 +250,14 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = False)
     """(records, gaps) of every archive below ``path``. An archive is read whole by one task, so
     writers bound it; archives are independent and spread over the tasks.
 
-    Payload length and digest are computed from the block of a response and come from the headers
-    of a revisit. Empty archives give nothing.
+    Payload length and digest are computed from the payload of a response and come from the headers
+    of a revisit; ``http_headers`` is what an HTTP message has before its payload. Empty archives give nothing.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     schema = pa.schema(
         [("archive", pa.string()), ("start", pa.int64()), ("size", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()), ("uri", pa.string()),
-         ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()), ("reason", pa.string())]
+         ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()), ("http_headers", pa.binary()), ("reason", pa.string())]
     )
 
     def read(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,14 +266,17 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = False)
                 rows = []
                 for kind, start, size, found, block in salvage(content):
                     if kind == "gap":
-                        rows.append((archive, start, size, None, None, None, None, None, None, None, None, found))
+                        rows.append((archive, start, size, *[None] * 9, found))
                         continue
                     revisit = found["warc-type"] == "revisit"
-                    length = found.get("warc-payload-length", "") if revisit else str(len(block))
-                    digest = found.get("warc-payload-digest", "").removeprefix("sha1:") if revisit else sha1_base32(block)
+                    body = payload(found, block)
+                    length = found.get("warc-payload-length", "") if revisit else str(len(body))
+                    digest = found.get("warc-payload-digest", "").removeprefix("sha1:") if revisit else sha1_base32(body)
+                    head = block[: len(block) - len(body)]
                     rows.append(
                         (archive, start, size, found["warc-record-id"], found["warc-type"], found.get("warc-target-uri"), _page(found["warc-record-id"]),
-                         _page(found.get("warc-refers-to")), int(length) if length.isdigit() else None, digest, block if with_payload else None, None)
+                         _page(found.get("warc-refers-to")), int(length) if length.isdigit() else None, digest, body if with_payload else None,
+                         head if with_payload and head else None, None)
                     )
                 if rows:
                     yield arrow(schema, list(zip(*rows)))
