@@ -8,6 +8,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,10 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 RECORDS_A_FILE = 2000
+BYTES_A_FILE = 64 << 20
+# More than the fixed headers of a record take.
+HEADER_BYTES = 1024
+OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 RECORD = "archive string, start long, size long, record_id string, record_type string, uri string, page_id long, refers_to long, payload_bytes long, payload_digest string, payload binary, http_headers binary"
 GAP = "archive string, start long, size long, reason string"
 
@@ -86,11 +91,42 @@ def record_text(records: DataFrame) -> Column:
     )
 
 
-def write_archives(records: DataFrame, path: str, *, records_a_file: int = RECORDS_A_FILE) -> None:
-    """Plain archives of at most ``records_a_file`` records each, by Spark's text writer: its line end
-    is the end of a record."""
-    text = records.select(record_text(records).alias("value"))
-    text.write.option("lineSep", RECORD_END).option("maxRecordsPerFile", records_a_file).text(path)
+def _numbers(records_a_file: int, bytes_a_file: int):
+    """File numbers of a task's records, from their sizes in the order they come."""
+
+    @F.pandas_udf("long")
+    def number(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        file, rows, filled = 0, 0, 0
+        for sizes in batches:
+            numbers = []
+            for size in sizes.tolist():
+                if rows == records_a_file or rows and filled + size > bytes_a_file:
+                    file, rows, filled = file + 1, 0, 0
+                rows, filled = rows + 1, filled + size
+                numbers.append(file)
+            yield pd.Series(numbers, dtype="int64")
+
+    return number.asNondeterministic()
+
+
+def write_archives(records: DataFrame, path: str, *, records_a_file: int = RECORDS_A_FILE, bytes_a_file: int = BYTES_A_FILE) -> None:
+    """Plain archives of at most ``records_a_file`` records and about ``bytes_a_file`` bytes each (a larger record is an
+    archive of its own), by Spark's text writer: its line end is the end of a record.
+
+    Each task numbers its own records by running sums; only the sizes go through Python. The writer holds
+    some files open at once and so needs no sort by number.
+    """
+    conf = records.sparkSession.conf
+    block = F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("payload_bytes"))
+    size = (block + F.coalesce(F.octet_length("url"), F.lit(0)) + HEADER_BYTES).cast("bigint")
+    text = records.select(record_text(records).alias("value"), _numbers(records_a_file, bytes_a_file)(size).alias("file"))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "128")
+    before = conf.get(OPEN_WRITERS)
+    conf.set(OPEN_WRITERS, "64")
+    try:
+        text.write.partitionBy("file").option("lineSep", RECORD_END).text(path)
+    finally:
+        conf.set(OPEN_WRITERS, before)
 
 
 class Damaged(ValueError):
@@ -248,7 +284,7 @@ def _page(value: str | None) -> int | None:
 
 def read_archives(spark: SparkSession, path: str, *, with_payload: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, gaps) of every archive below ``path``. An archive is read whole by one task, so
-    writers bound it; archives are independent and spread over the tasks.
+    writers bound its records and bytes; archives are independent and spread over the tasks.
 
     Payload length and digest are computed from the payload of a response and come from the headers
     of a revisit; ``http_headers`` is what an HTTP message has before its payload. Empty archives give nothing.

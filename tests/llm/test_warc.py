@@ -68,3 +68,18 @@ def test_http_message_as_rows(spark, tmp_path):
     assert (row["payload_bytes"], row["payload_digest"]) == (len(body), warc.sha1_base32(body))
     assert (bytes(row["payload"]), bytes(row["http_headers"])) == (body, head)
     assert gaps.count() == 0
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    html = F.when(F.col("id") == 7, F.repeat(F.lit("z"), 50_000)).otherwise(F.concat(F.repeat(F.lit("y"), 4000), F.col("id").cast("string")))
+    pages = spark.range(0, 300, 1, 2).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    records = warc.page_records(pages)
+    warc.write_archives(records, f"{tmp_path}/bytes", bytes_a_file=20_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "bytes").rglob("*.txt")]
+    assert len(sizes) > 60 and sorted(sizes)[-2] <= 20_000 < sorted(sizes)[-1] < 52_000
+    assert sorted(r["page_id"] for r in warc.read_archives(spark, f"{tmp_path}/bytes")[0].collect()) == list(range(300))
+    warc.write_archives(records, f"{tmp_path}/rows", records_a_file=10)
+    found = [f.read_bytes().count(b"WARC/1.1\r\n") for f in (tmp_path / "rows").rglob("*.txt")]
+    assert sum(found) == 300 and max(found) == 10
