@@ -11,6 +11,8 @@ from salvor.llm.common import SPACES, WORD, key60, staged, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CELL_ROWS = 16_384
+# Cells of rows that carry their texts.
+CARRIED_ROWS = 2048
 
 
 def word_count(text: Column) -> Column:
@@ -43,8 +45,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], most: float) -> D
     return levels.withColumn("target", F.least(F.col("cap"), F.coalesce(water * F.col("weight"), F.col("cap")))).drop("level", "order", "cap", "weight")
 
 
-def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, most: float = 3.0, seed: str = "mix", cell_rows: int = CELL_ROWS) -> DataFrame:
-    """doc_id, source, size, source_size, target, epochs, part, taken (words, repeats counted).
+def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, most: float = 3.0, seed: str = "mix", cell_rows: int = CELL_ROWS, carry: bool = False) -> DataFrame:
+    """doc_id, source, size, source_size, target, epochs, part, taken (words, repeats counted), and with ``carry`` the
+    row itself as ``doc``.
 
     Every row gets a hash key; inside its source it lies in a cell of the key range (about
     ``cell_rows`` rows each, so a hot source has many), cells are summed and their offsets added
@@ -55,25 +58,27 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, most: float = 3.
     Null text has size 0; a null source is a source. Rows that repeat are rows of their own; ties
     of the key go by id and size. A source without words has target 0. An empty table gives none.
     """
-    base = staged(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key60(F.lit(seed), F.col("doc_id")).alias("key")),
-        "mix-base",
-    )
+    columns = ["doc_id", "source", word_count(F.col("text")).alias("size"), key60(F.lit(seed), F.col("doc_id")).alias("key")]
+    base = staged(docs.select(*columns), "mix-base")
+    # Carried rows are read again and not staged; among ties of key, id and size the text decides.
+    carried, last = (["doc"], [F.xxhash64("doc.text")]) if carry else ([], [])
+    whole = docs.select(*columns, F.struct(*docs.columns).alias("doc")) if carry else base
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     targets = source_targets(sizes, weights, most).withColumn("cells", F.greatest(F.lit(1), F.ceil(F.col("rows") / cell_rows))).drop("rows")
     targets = staged(targets.coalesce(1), "mix-targets").withColumnRenamed("source", "_source")
     # One row a source: Spark broadcasts it by its measured size.
-    rows = base.join(targets, base["source"].eqNullSafe(targets["_source"])).drop("_source")
+    rows = whole.join(targets, whole["source"].eqNullSafe(targets["_source"])).drop("_source")
     rows = rows.withColumn("cell", F.floor(F.col("key") / F.lit(2.0**60) * F.col("cells")).cast("bigint"))
     cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     offsets = cells.select(
         F.struct("source", "cell").alias("at"),
         F.coalesce(F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
     )
-    inside = Window.partitionBy("at").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("at").orderBy("key", "doc_id", "size", *last).rowsBetween(Window.unboundedPreceding, -1)
     budget = F.floor("target").cast("bigint")
     words = F.greatest(F.col("source_size"), F.lit(1))
     placed = rows.withColumn("at", F.struct("source", "cell")).join(offsets, "at").select(
+        *carried,
         "doc_id",
         "source",
         "size",
@@ -83,22 +88,19 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = WEIGHTS, most: float = 3.
         (budget - F.floor(budget / words).cast("bigint") * words - F.col("offset") - F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("room"),
     )
     part = F.greatest(F.lit(0), F.least("size", "room")).cast("bigint")
-    return placed.select("doc_id", "source", "size", "source_size", "target", "epochs", part.alias("part"), (F.col("epochs") * F.col("size") + part).alias("taken"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", "epochs", part.alias("part"), (F.col("epochs") * F.col("size") + part).alias("taken"), *carried)
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, cell_rows: int = CARRIED_ROWS, **options) -> DataFrame:
     """The mix as documents: a row for each epoch that takes it whole, and one with its first words
-    (single spaces between) where the budget cuts it. Rows of one id all get the largest share among them.
-    Rows travel as one struct, so no column clashes."""
-    plan = mix(docs, **options).groupBy("doc_id").agg(F.max("epochs").alias("epochs"), F.max(F.struct("part", "size")).alias("last"))
-    plan = plan.withColumnRenamed("doc_id", "id")
-    rows = docs.select(F.struct(*docs.columns).alias("doc"))
-    joined = rows.join(plan, F.col("doc.doc_id").eqNullSafe(F.col("id")))
-    part, text = F.col("last.part"), F.col("doc.text")
+    (single spaces between) where the budget cuts it. Every row keeps its own share, also where ids are missing or
+    repeat. Rows travel through the mix as one struct, so no column clashes."""
+    joined = mix(docs, cell_rows=cell_rows, carry=True, **options)
+    part, text = F.col("part"), F.col("doc.text")
     copies = F.col("epochs") + F.when(part > 0, 1).otherwise(0)
     repeated = joined.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))
     # The row at the cut gives a part in its last copy alone.
-    cut = (F.col("copy") > F.col("epochs")) & (part < F.col("last.size"))
+    cut = (F.col("copy") > F.col("epochs")) & (part < F.col("size"))
     words = F.split(F.regexp_replace(text, f"^{SPACES}", ""), SPACES)
     start = F.concat_ws(" ", F.slice(words, 1, F.greatest(F.lit(1), part).cast("int")))
     changed = {"text": start, "n_chars": F.length(start)}
