@@ -52,8 +52,8 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) @ b.astype(np.int64).T
 
 
-def best(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int, leaf_rows: int):
-    """For each query its k best of ``points`` with a score not below its floor, as (query, id, score) rows.
+def best(queries: np.ndarray, query_rows: np.ndarray, floors: np.ndarray, points: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, leaf_rows: int):
+    """For each query its k best of ``points`` but its own row, with a score not below its floor, as (query's place, id, score).
 
     Leaves are visited in the order of their bounds. In a round every query visits its next leaf if
     that leaf's bound reaches its k-th score so far (or its floor, the k-th score found elsewhere);
@@ -63,7 +63,7 @@ def best(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, points:
     tree = Tree(points, leaf_rows)
     bounds = tree.bounds(queries)
     turn = np.argsort(-bounds, axis=1, kind="stable")
-    ids = ids[tree.order]
+    ids, rows = ids[tree.order], rows[tree.order]
     heaps: list[list[tuple]] = [[] for _ in queries]
     level = floors.astype(float).copy()
     alive = np.arange(len(queries))
@@ -79,22 +79,22 @@ def best(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, points:
             here = alive[leaf == at]
             start, stop = tree.leaves[at]
             scores = products(queries[here], tree.points[start:stop])
-            for row, who in zip(scores, here):
-                for j in np.nonzero(row >= level[who])[0]:
-                    if ids[start + j] == query_ids[who]:
+            for line, who in zip(scores, here):
+                for j in np.nonzero(line >= level[who])[0]:
+                    if rows[start + j] == query_rows[who]:
                         continue
-                    item = (int(row[j]), -int(ids[start + j]))
+                    item = (int(line[j]), -int(ids[start + j]))
                     if len(heaps[who]) < k:
                         heapq.heappush(heaps[who], item)
                     elif item > heaps[who][0]:
                         heapq.heapreplace(heaps[who], item)
                 if len(heaps[who]) == k:
                     level[who] = max(level[who], float(heaps[who][0][0]))
-    return [(int(query_ids[i]), -v, s) for i, heap in enumerate(heaps) for s, v in heap]
+    return [(i, -v, s) for i, heap in enumerate(heaps) for s, v in heap]
 
 
 def search(vectors: DataFrame, wanted: Column, *, id_column: str = "vec_id", column: str = "embedding", scale: float = 64.0, k: int = TOP,
-           shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+           shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES, leaf_rows: int = LEAF_ROWS, each_row: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: for each vector that ``wanted`` selects, its k best others by the
     inner product of floor(scale * x), ties to the smaller id.
 
@@ -103,19 +103,24 @@ def search(vectors: DataFrame, wanted: Column, *, id_column: str = "vec_id", col
     A task holds one shard and one block; only scores above the floor come out.
 
     Vectors that are null, or hold null or non-finite components, take no part; nor do missing ids. An id
-    that repeats counts once, with its smallest vector. Only vectors of equal length are compared. With
+    that repeats counts once, with its smallest vector, or with ``each_row`` each of its rows is a candidate, for the other rows of
+    that id too, and a query of its own where it is wanted; ties of score and id then need no further order, as their rows come
+    out alike. Only vectors of equal length are compared. With
     fewer than k others, all are returned; an empty table gives no rows.
     """
     whole = vectors.select(F.col(id_column).cast("bigint").alias("vec_id"), F.col(column).alias("v"), wanted.alias("wanted"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
     whole = whole.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.coalesce(fine, F.lit(False)))
-    whole = whole.groupBy("vec_id").agg(F.min(F.transform("v", lambda x: F.floor(x.cast("double") * scale).cast("double"))).alias("v"), F.max("wanted").alias("wanted"))
-    whole = staged(whole.withColumn("size", F.size("v")), "vectors")
+    whole = whole.withColumn("v", F.transform("v", lambda x: F.floor(x.cast("double") * scale).cast("double")))
+    if not each_row:
+        whole = whole.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("wanted").alias("wanted"))
+    # The number of a row holds as it is written once.
+    whole = staged(whole.withColumn("size", F.size("v")).withColumn("row", F.monotonically_increasing_id()), "vectors")
     rows, asked = whole.agg(F.count("*"), F.count_if("wanted")).first()
     shards, blocks = max(1, -(-rows // shard_rows)), max(1, -(-asked // block_queries))
-    hashed = F.xxhash64("vec_id")
-    points = whole.select("vec_id", "v", "size", F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"))
-    queries = whole.filter("wanted").select("vec_id", "v", "size", F.pmod(F.shiftright(hashed, 16), F.lit(blocks)).cast("int").alias("block"))
+    hashed = F.xxhash64("row")
+    points = whole.select("row", "vec_id", "v", "size", F.pmod(hashed, F.lit(shards)).cast("int").alias("shard"))
+    queries = whole.filter("wanted").select("row", "vec_id", "v", "size", F.pmod(F.shiftright(hashed, 16), F.lit(blocks)).cast("int").alias("block"))
     home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
 
     def meet(asking: DataFrame, shard_of_block: Column) -> DataFrame:
@@ -126,7 +131,7 @@ def search(vectors: DataFrame, wanted: Column, *, id_column: str = "vec_id", col
         # New names for the columns: both sides come from one table.
         own = points.select(*[F.col(c).alias(c) for c in points.columns])
         right = own.withColumn("block", F.explode(every)).filter(met)
-        return left.groupBy("size", "block", "shard").cogroup(right.groupBy("size", "block", "shard")).applyInPandas(run, "query_id long, vec_id long, score long")
+        return left.groupBy("size", "block", "shard").cogroup(right.groupBy("size", "block", "shard")).applyInPandas(run, "query_row long, query_id long, vec_id long, score long")
 
     def run(asking: pd.DataFrame, having: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -134,22 +139,24 @@ def search(vectors: DataFrame, wanted: Column, *, id_column: str = "vec_id", col
             size = int(asking["size"].iloc[0])
             a = np.array(asking["v"].tolist(), float).reshape(len(asking), size)
             b = np.array(having["v"].tolist(), float).reshape(len(having), size)
-            found = best(a, asking["vec_id"].to_numpy(), asking["floor"].to_numpy(float), b, having["vec_id"].to_numpy(), k, leaf_rows)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+            found = best(a, asking["row"].to_numpy(), asking["floor"].to_numpy(float), b, having["row"].to_numpy(), having["vec_id"].to_numpy(), k, leaf_rows)
+            rows_, ids = asking["row"].tolist(), asking["vec_id"].tolist()
+            found = [(rows_[i], ids[i], v, s) for i, v, s in found]
+        return pd.DataFrame(found, columns=["query_row", "query_id", "vec_id", "score"]).astype("int64")
 
     start = queries.withColumn("floor", F.lit(float("-inf")))
     first = staged(meet(start, F.array(home)), "nearest-home")
     if shards > 1:
-        floors = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
-        lifted = queries.join(floors, queries["vec_id"] == floors["query_id"], "left").drop("query_id").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        floors = first.groupBy("query_row").agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
+        lifted = queries.join(floors, queries["row"] == floors["query_row"], "left").drop("query_row").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
         others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)
         first = first.unionByName(meet(lifted, others))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return first.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark, folder: str) -> DataFrame:
-    return search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+    return search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, each_row=True)
 
 
 SQL = """
