@@ -451,3 +451,27 @@ ORACLES |= {
         union select vehicle_category from vehicle""",
     ),
 }
+
+# --- the same operations over all rows, with keys that are missing or respelled ---
+_MISSED = "case when claim_number % 11 = 0 then null when claim_number % 13 = 0 then {other} else {column} end"
+_CHANNEL = _MISSED.format(column="channel", other="lower(channel)")
+ORACLES |= {
+    "jn04_left_all": over(
+        "policyholder claim",
+        f"""select claim_number, annual_income
+        from (select claim_number, {_MISSED.format(column="policyholder_key", other="-1 - policyholder_key")} as k from claim) c
+        left join policyholder p on c.k = p.policyholder_key""",
+    ),
+    "jn07_all": over(
+        "claim",
+        f"""select claim_number, round(coalesce(m, (select avg(subrogation) from claim)), 9) as encoded
+        from (select claim_number, {_CHANNEL} as channel from claim)
+        left join (select channel, avg(subrogation) as m from claim group by 1) using (channel)""",
+    ),
+    "scl14_all": over(
+        "claim vehicle",
+        f"""select {_CHANNEL} as category from claim
+        union select claim_day_of_week from claim
+        union select vehicle_category from vehicle""",
+    ),
+}

@@ -185,6 +185,17 @@ ORACLES = {
         **_METRICS,
     ),
 }
+ORACLES["mp03_all"] = over(
+    "wide",
+    f"""select claim_number, colour.code as vehicle_color,
+      coalesce(ch.code, (select count(distinct channel) from wide where not {HOLD})) as channel
+    from (select claim_number, vehicle_color, case when claim_number % 11 = 0 then null
+            when claim_number % 13 = 0 then lower(channel) else channel end as channel from wide) h
+    join (select vehicle_color, dense_rank() over (order by vehicle_color) - 1 as code
+          from (select distinct vehicle_color from wide)) colour using (vehicle_color)
+    left join (select channel, dense_rank() over (order by channel) - 1 as code
+          from (select distinct channel from wide where not {HOLD})) ch on ch.channel = h.channel""",
+)
 ORACLES["snk05_lines"] = over(
     "scored",
     """select cast(unnest(range(11)) as integer) as line_number, unnest([repeat('=', 45), 'Claim model execution report',

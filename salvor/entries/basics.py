@@ -266,6 +266,26 @@ def map_lookup(s):
     )
 
 
+def missed(column, other):
+    """``column`` with every eleventh claim's value missing and every thirteenth's as ``other``, which no lookup has."""
+    number = C("claim_number")
+    return F.when(number % 11 == 0, None).when(number % 13 == 0, other).otherwise(C(column))
+
+
+def left_with_misses(s):
+    """Every claim beside all policyholders; some keys are missing or below zero."""
+    claim = s.claim.withColumn("policyholder_key", missed("policyholder_key", -1 - C("policyholder_key")))
+    return claim.join(s.policyholder, "policyholder_key", "left").select("claim_number", "annual_income")
+
+
+def map_lookup_all(s):
+    """Means of all channels as a lookup; missing and respelled channels take the overall mean."""
+    means = s.claim.groupBy("channel").agg(F.avg("subrogation").alias("m"))
+    overall = s.claim.agg(F.avg("subrogation")).scalar()
+    claim = s.claim.withColumn("channel", missed("channel", F.lower("channel")))
+    return claim.join(means, "channel", "left").select("claim_number", F.round(F.coalesce("m", overall), 9).alias("encoded"))
+
+
 def one_quantile_row(s):
     q = O.exact_quantiles(O.frequencies(s.claim, "claim_est_payout"), "claim_est_payout", [0.01, 0.5, 0.75, 0.99])
     names = ("p01", "p50", "p75", "p99")
@@ -325,7 +345,9 @@ QUERIES |= {
     ).select("claim_number", "annual_income"),
     "jn05": to_group_average,
     "jn06": lambda s: s.wide.select("claim_number", "accident_site", "annual_income", "vehicle_color", "gender"),
+    "jn04_left_all": left_with_misses,
     "jn07": map_lookup,
+    "jn07_all": map_lookup_all,
     "agg01": lambda s: s.claim.groupBy("channel").agg(
         F.count("*").alias("n"), F.count("witness_present_ind").alias("with_witness_field")
     ),
@@ -403,6 +425,16 @@ def _per_wide(**columns):
     return build
 
 
+def categories_all(s):
+    """The categories of every row of both frames, missing and respelled ones too."""
+    frames = [
+        s.claim.select(missed("channel", F.lower("channel")).alias("category")),
+        s.claim.select(C("claim_day_of_week").alias("category")),
+        s.vehicle.select(C("vehicle_category").alias("category")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), [f.distinct() for f in frames]).distinct()
+
+
 def categories(s):
     frames = [
         s.claim.filter("subrogation = 1").select(C("channel").alias("category")),
@@ -461,4 +493,5 @@ QUERIES |= {
         witness=lambda: X.display_text("witness_present_ind"),
     ),
     "scl14": categories,
+    "scl14_all": categories_all,
 }

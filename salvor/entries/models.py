@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from salvor.entries.basics import missed
 from salvor.entries.features import compared
 from salvor.operators import evaluate as V
 from salvor.operators import prep as P
@@ -59,6 +60,16 @@ def label_encoded(s):
     return P.label_encode(coded, channels, "channel")
 
 
+def label_encoded_all(s):
+    """Codes of every claim of both parts: colours fitted on both, channels on the training part. Some channels to
+    encode are missing or respelled."""
+    train, test = P.hold_out_split(s.wide, *HOLD_OUT)
+    colours = P.label_codes([train, test], "vehicle_color")
+    channels = P.label_codes([train], "channel")
+    both = train.unionByName(test).select("claim_number", "vehicle_color", missed("channel", F.lower("channel")).alias("channel"))
+    return P.label_encode(P.label_encode(both, colours, "vehicle_color"), channels, "channel")
+
+
 def folds(s):
     """The fold of every claim: exact stratification."""
     dealt = P.stratified_folds(s.scored.select("claim_number", "y"), "claim_number", "y")
@@ -197,6 +208,7 @@ QUERIES = {
     "mp01": split,
     "mp02": target_encoded,
     "mp03": label_encoded,
+    "mp03_all": label_encoded_all,
     "mp04": folds,
     "mp05": random_split,
     "mp07": fold_means,
