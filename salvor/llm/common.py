@@ -31,6 +31,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded(small: DataFrame, name: str, most_rows: int = 100_000) -> DataFrame:
+    """A narrow lookup, staged and counted: marked for broadcast up to ``most_rows``, else joined by shuffle."""
+    small = staged(small, name)
+    return F.broadcast(small) if small.count() <= most_rows else small
+
+
 def by_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """mapInArrow with few rows a batch, as single texts can be very long."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
