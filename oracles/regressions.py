@@ -1,5 +1,7 @@
 """Oracles of least squares: normal equations solved step by step in SQL."""
 
+import random
+
 from oracles.basics import over
 from oracles.features import ART
 
@@ -107,7 +109,42 @@ _LABEL_STEPS = {
     ),
 }
 
+HOLD = "(year(claim_date) = 2000 and month(claim_date) = 9)"
+
+
+def _drawn(trials: int = 20) -> str:
+    """The search's parameters: seeded draws, log-uniform, whole and uniform."""
+    rng, rows = random.Random(42), []
+    for t in range(trials):
+        step = 0.01 * 5.0 ** rng.random()
+        depth, least = rng.randint(3, 8), rng.randint(10, 50)
+        share = rng.uniform(0.5, 1.0)
+        rows.append(f"({t}, {step!r}::double, {depth}.0::double, {least}.0::double, {share!r}::double)")
+    return ", ".join(rows)
+
+
 ORACLES = {
+    "ml05": over("scored", f"select claim_number, cast(y as integer) as subrogation, true as within from scored where {HOLD}"),
+    "ml05_metrics": """select 27 as n_features, true as ranks_train, true as ranks_test, true as above_all_positive,
+      true as on_grid, true as waited, true as better""",
+    "ml06": over(
+        "scored",
+        f"""select count(*) filter (where not {HOLD}) as oof_rows, count(distinct claim_number) filter (where not {HOLD}) as oof_keys,
+          count(*) filter (where {HOLD}) as test_rows, 5 as folds, true as waited, true as kept_some,
+          true as weights_sum_to_one, true as ranks, true as on_grid, true as f1_within from scored""",
+    ),
+    "ml06_predictions": over("scored", f"select claim_number, true as within, true as follows from scored where {HOLD}"),
+    "ml12": f"""select trial, round(step, 9) as stepSize, depth as maxDepth, least as minInstancesPerNode,
+      round(share, 9) as subsamplingRate, true as within, true as sorted, true as learns, true as waited
+      from (values {_drawn()}) t(trial, step, depth, least, share)""",
+    "mp06_neighbours": over(
+        "scored",
+        """select claim_number, cast(unnest(range(1, 6)) as integer) as rank, round(unnest(near), 6) as distance
+        from (select a.claim_number, min(sqrt(power(a.liab_prct - b.liab_prct, 2) + power((a.claim_est_payout - b.claim_est_payout) / 1000, 2)
+                + power(100 * (a.p_a - b.p_a), 2) + power(a.m - b.m, 2)), 5) as near
+              from pts a join pts b on a.claim_number <> b.claim_number group by a.claim_number)""",
+        pts="select claim_number, liab_prct, claim_est_payout, p_a, claim_number % 97 as m from scored where y = 1",
+    ),
     "ml01": over("accident claim", _SHOWN, **_payout(_ANY, _PAYOUT)),
     "ml01_literal": over(
         "accident claim",

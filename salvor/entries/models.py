@@ -9,7 +9,7 @@ from salvor.entries.features import compared
 from salvor.operators import evaluate as V
 from salvor.operators import prep as P
 from salvor.operators import triage as T
-from salvor.operators.sizes import beside, settled
+from salvor.operators.sizes import beside, stored
 from salvor.session import scratch
 from salvor.sources import files
 from salvor.sources.star import HOLD_OUT
@@ -102,7 +102,7 @@ def parts(s):
 
 
 def blended(s):
-    weights = settled(V.blend_weights(s.scored, SCORES, "y"))
+    weights = stored(V.blend_weights(s.scored, SCORES, "y"))
     held = V.blend(s.scored, weights, SCORES).withColumn("simple", V.simple_mean(SCORES))
     return held.select("claim_number", F.round("p", 9).alias("weighted"), F.round("simple", 9).alias("simple"))
 
@@ -137,7 +137,7 @@ def held_out_error(s):
 
 def predictions(s):
     train, test = parts(s)
-    best_ = settled(V.best_threshold(V.threshold_sweep(train, "p_a", "y", V.SINGLE_GRID)))
+    best_ = stored(V.best_threshold(V.threshold_sweep(train, "p_a", "y", V.SINGLE_GRID)))
     held = beside(test, best_.select("threshold"))
     return V.apply_threshold(held, "p_a", C("threshold")).select(
         "claim_number", F.round("p_a", 9).alias("subrogation_proba"), C("pred").alias("subrogation_pred")

