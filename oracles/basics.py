@@ -150,8 +150,8 @@ ORACLES |= {
     "nrm07": over("claim", _BROKEN),
     "nrm08": over("claim", f"select * from ({_BROKEN}) where accident_key = 0"),
     "nrm08_anti": over(
-        "claim vehicle",
-        f"select * from ({_BROKEN}) b where not exists (select 1 from vehicle v where v.vehicle_key = b.vehicle_key)",
+        "claim accident",
+        f"select * from ({_BROKEN}) b where not exists (select 1 from accident a where a.accident_key = b.accident_key)",
     ),
     "nrm09": over("vehicle", "select vehicle_key, count(*) as n from vehicle group by 1 having count(*) > 1"),
     "nrm09_repeated": over("", "select claim_number, count(*) as n from c group by 1 having count(*) > 1", c=_LINES),

@@ -214,7 +214,7 @@ QUERIES |= {
     "nrm06": lambda s: N.split_wide(staged_text(s))["claim"],
     "nrm07": lambda s: N.repair_keys(broken_keys(s)),
     "nrm08": lambda s: N.repair_keys(broken_keys(s)).filter("accident_key = 0"),
-    "nrm08_anti": lambda s: N.orphans(N.repair_keys(broken_keys(s)), s.vehicle, "vehicle_key"),
+    "nrm08_anti": lambda s: N.orphans(N.repair_keys(broken_keys(s)), s.accident, "accident_key"),
     "nrm09": lambda s: Q.duplicate_keys(s.vehicle, "vehicle_key"),
     "nrm09_repeated": lambda s: Q.duplicate_keys(s.line_claims, "claim_number"),
     "nrm10": lambda s: s.wide,

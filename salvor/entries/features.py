@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from salvor.operators import features as E
 from salvor.operators.prep import hold_out_split
-from salvor.operators.sizes import settled
+from salvor.operators.sizes import stored
 from salvor.sources.star import HOLD_OUT
 
 # Group -> its output columns.
@@ -50,20 +50,23 @@ def _names(group):
     return GROUPS[group].split()
 
 
+# Groups whose columns each follow from the row alone.
+ROW_LOCAL = ("fe01", "fe02", "fe03", "fe07", "fe08", "fe09", "fe10", "fe12")
+
+
 def engineered(s):
-    """The statistics are computed once and kept; the frame itself stays lazy."""
-    return E.transform(s.wide, settled(E.fit(s.wide)))
+    """The wide claims are derived once and stored, then read for the statistics and for the columns."""
+    return E.engineered(stored(s.wide))
 
 
 def group_of(s, group):
-    f = engineered(s)
+    f = E.row_local(s.wide) if group in ROW_LOCAL else engineered(s)
     return compared(f.select("claim_number", *_names(group)), "claim_number")
 
 
 def group_applied(s, group):
-    train, test = hold_out_split(s.wide, *HOLD_OUT)
-    f = E.transform(test, settled(E.fit(train)))
-    return compared(f.select("claim_number", *_names(group)), "claim_number")
+    train, test = hold_out_split(stored(s.wide), *HOLD_OUT)
+    return compared(E.engineered(test, fit_on=train).select("claim_number", *_names(group)), "claim_number")
 
 
 def selected(s):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from salvor.functions.scalars import clip, num
 from salvor.operators.normalize import pick
 from salvor.operators.ordering import exact_quantiles
-from salvor.operators.sizes import beside
+from salvor.operators.sizes import beside, stored
 
 C = F.col
 MONEY = ("annual_income", "vehicle_price", "vehicle_weight", "claim_est_payout")
@@ -64,41 +64,43 @@ claim_est_payout_capped payout_to_income safety_rating high_education address_ch
 # --- fitted statistics -------------------------------------------------------
 
 
-def _value_counts(df: DataFrame) -> DataFrame:
-    """(column, value, n) of the five fitted columns; missing is a value of its own.
+def value_counts(df: DataFrame) -> DataFrame:
+    """(column, value, n) of the five fitted columns, stored; missing is a value of its own.
 
-    One narrow scan and one shuffle of already combined counts. Both quantile passes
-    read this same exchange.
+    One narrow scan and one shuffle of already combined counts. Both quantile passes read this table.
     """
     entries = F.array(
         *[F.struct(F.lit(c).alias("column"), num(c).alias("value")) for c in ("vehicle_mileage", *MONEY)]
     )
-    return (
+    return stored(
         df.select(F.explode(entries).alias("_e"))
         .groupBy(C("_e.column").alias("column"), C("_e.value").alias("value"))
         .agg(F.count("*").alias("n"))
     )
 
 
-def fit(df: DataFrame) -> DataFrame:
-    """One row of thirteen statistics of the training frame."""
-    counts = _value_counts(df).withColumn("n", F.when(C("value").isNotNull(), C("n")).otherwise(0))
+def fit(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """One row of thirteen statistics of the training frame. ``counts`` are its ``value_counts``, where they are at hand."""
+    counts = value_counts(df) if counts is None else counts
+    counts = counts.withColumn("n", F.when(C("value").isNotNull(), C("n")).otherwise(0))
     quantiles = exact_quantiles(counts, "value", [0.01, 0.5, 0.99], by=["column"])
 
     def of(column: str, i: int) -> Column:
         return F.max(F.when(C("column") == column, C("q")[i]))
 
-    return quantiles.agg(
-        of("vehicle_mileage", 1).alias("mileage_median"),
-        *[
-            of(c, i).alias(f"{c}_{name}")
-            for c in MONEY
-            for name, i in (("med", 1), ("p99", 2), ("p01", 0))
-        ],
+    return stored(
+        quantiles.agg(
+            of("vehicle_mileage", 1).alias("mileage_median"),
+            *[
+                of(c, i).alias(f"{c}_{name}")
+                for c in MONEY
+                for name, i in (("med", 1), ("p99", 2), ("p01", 0))
+            ],
+        )
     )
 
 
-def high_marks(df: DataFrame, artifacts: DataFrame) -> DataFrame:
+def high_marks(df: DataFrame, artifacts: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """One row: the frame's own 0.75 quantile of mileage and of the capped money columns."""
     value = C("value")
     for column in HIGH_FLAGS:
@@ -109,13 +111,13 @@ def high_marks(df: DataFrame, artifacts: DataFrame) -> DataFrame:
             filled = clip(F.coalesce("value", f"{column}_med"), C(f"{column}_p01"), C(f"{column}_p99"))
         value = F.when(here, filled).otherwise(value)
     capped = (
-        beside(_value_counts(df), artifacts)
+        beside(value_counts(df) if counts is None else counts, artifacts)
         .select("column", value.alias("value"), "n")
         .groupBy("column", "value")
         .agg(F.sum("n").alias("n"))
     )
     marks = exact_quantiles(capped.filter("value is not null"), "value", [0.75], by=["column"])
-    return marks.agg(*[F.max(F.when(C("column") == c, C("q")[0])).alias(f"{c}_mark") for c in HIGH_FLAGS])
+    return stored(marks.agg(*[F.max(F.when(C("column") == c, C("q")[0])).alias(f"{c}_mark") for c in HIGH_FLAGS]))
 
 
 # --- row-local groups: output column -> SQL expression ------------------------
@@ -305,6 +307,27 @@ def transform(df: DataFrame, artifacts: DataFrame, marks: DataFrame | None = Non
     return wide.drop(*artifacts.columns, *marks.columns)
 
 
+def engineered(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+    """All engineered columns of a frame, from statistics of its own or of ``fit_on``, and marks of its own. The frames
+    should be stored, as they are read for the value counts and for the columns."""
+    counts = value_counts(df)
+    artifacts = fit(df, counts) if fit_on is None else fit(fit_on)
+    return transform(df, artifacts, high_marks(df, artifacts, counts))
+
+
+# Stand-ins for statistics that no wanted column needs.
+_NO_MARKS = {f"{c}_mark": "cast(null as double)" for c in HIGH_FLAGS}
+_NO_STATISTICS = {"mileage_median": "cast(null as double)"} | {f"{c}_{n}": "cast(null as double)" for c in MONEY for n in ("med", "p99", "p01")}
+
+
+def row_local(df: DataFrame) -> DataFrame:
+    """The engineered columns that need no statistics (others are missing): nothing is fitted, and every row stands alone."""
+    wide = _project(df, _NO_STATISTICS | _NO_MARKS)
+    for step in STEPS:
+        wide = _project(wide, step)
+    return wide.drop(*_NO_STATISTICS, *_NO_MARKS)
+
+
 def select_features(df: DataFrame, names: Sequence[str] = SELECTED, *keep: str) -> DataFrame:
     """The wanted features that the frame has, after the ``keep`` columns."""
     return df.select(*keep, *pick(df, names))

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from salvor.functions.scalars import stripped, to_bool, whole
 from salvor.operators.ordering import id_cell, number_rows
-from salvor.operators.sizes import measured
 from salvor.schema import DIMENSION_KEYS
 
 CLAIM_COLUMNS = (
@@ -113,13 +112,13 @@ def attach_key(base: DataFrame, dimension: DataFrame, columns: Sequence[str], ke
 def split_wide(df: DataFrame, row_id: str = "row_id") -> dict[str, DataFrame]:
     """Wide text frame -> the five tables (claim carries the surrogate keys).
 
-    Each dimension is computed once: it is a result of its own, the key lookup of the
-    claims, and (below a counted bound) their broadcast side. ``df`` is read once per
+    Nothing runs here: each dimension is a plan of its own over its few columns, and the claims meet it in a join that
+    Spark turns into a broadcast at run time where the dimension is small. ``df`` is read once per
     dimension and once for the claims, so it should be a file or a staged table.
     """
     clean = strip_all(df)
     tables = {
-        name: measured(build_dimension(clean, columns, DIMENSION_KEYS[name], row_id))
+        name: build_dimension(clean, columns, DIMENSION_KEYS[name], row_id)
         for name, columns in DIMENSION_COLUMNS.items()
         if pick(clean, columns)
     }
