@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salvor.session import scratch, shared_folder
@@ -14,7 +18,9 @@ from salvor.session import scratch, shared_folder
 # White space and words of the contracts.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_ROWS = "512"
+# Bounds of the texts that a function holds as Python strings at once.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+SLOTS = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,10 +43,54 @@ def bounded(small: DataFrame, name: str, most_rows: int = 100_000) -> DataFrame:
     return F.broadcast(small) if small.count() <= most_rows else small
 
 
-def by_batches(df: DataFrame, function, schema: str) -> DataFrame:
-    """mapInArrow with few rows a batch, as single texts can be very long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    return df.mapInArrow(function, schema)
+def split_by_slots(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that meet none of ``keys``, the others): the key of every row falls into one of SLOTS hash slots, and those that
+    ``keys`` (one column) use are broadcast, SLOTS rows at most. The others hold every row that meets a key, and the few that
+    share a slot with one, so a join after it is exact while most rows need no shuffle."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int").alias("_slot")
+    used = F.broadcast(keys.select(slot(F.col(keys.columns[0]))).distinct())
+    marked = rows.select("*", slot(key))
+    return marked.join(used, "_slot", "left_anti").drop("_slot"), marked.join(used, "_slot", "left_semi").drop("_slot")
+
+
+def thinned(docs: DataFrame, key: Column, decided: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``decided`` (key, keep) takes out: of a key to keep one row stays, of a key not to keep
+    none, and rows of other keys stay as they are. Rows travel as one struct, so no column clashes."""
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("key"))
+    away, met = split_by_slots(rows, F.col("key"), decided.select("key"))
+    met = met.join(decided, "key", "left").filter("keep is null or keep").withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(64)))
+    # Rows of a key that repeats without end: first one of each of 64 parts, then one of these.
+    for by in (("key", "part"), ("key",)):
+        met = met.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(1)))).filter("keep is null or place = 1")
+    return away.select("doc.*").unionByName(met.select("doc.*"))
+
+
+def few_rows(spark: SparkSession):
+    """Fewer rows in an Arrow batch than Spark's default, for an eager pass that holds much besides."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the length of an eager action; then the former one is back."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def kept(name: tuple, make):
+    """What ``make`` gives, once for a Python worker: tasks that follow in its process find it again. Functions of this package
+    travel by value, so the interpreter itself holds it."""
+    held = sys.__dict__.setdefault("_held_between_tasks", {})
+    if name not in held:
+        held[name] = make()
+    return held[name]
 
 
 def arrow(schema: pa.Schema, columns: list[Any]) -> pa.RecordBatch:
@@ -59,7 +109,14 @@ def remainder4(doc_id: Column) -> Column:
 
 
 def batches(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Batches with their column ``text`` as str, null as empty."""
-    for batch in source:
-        if batch.num_rows:
+    """Batches with their column ``text`` as str, null as empty, cut to BATCH_ROWS rows and about BATCH_BYTES bytes
+    (a longer text is a batch of its own). Spark bounds what it sends at once by bytes."""
+    for whole in source:
+        filled = np.cumsum(pc.fill_null(pc.binary_length(whole.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < whole.num_rows:
+            most = (filled[start - 1] if start else 0) + BATCH_BYTES
+            stop = max(start + 1, min(start + BATCH_ROWS, int(np.searchsorted(filled, most, "right"))))
+            batch = whole.slice(start, stop - start)
             yield batch, [t or "" for t in batch.column("text").to_pylist()]
+            start = stop

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, batches, by_batches, key60, remainder4, table
+from salvor.llm.common import arrow, batches, key60, remainder4, table
 
 BITS = 15
 LONGEST = 4
@@ -107,7 +107,7 @@ def fit(docs: DataFrame, *, per_language: int = TRAIN_ROWS, landmarks: int = LAN
             yield arrow(schema, [batch.column("key").to_pylist(), batch.column("lang").to_pylist(), packed])
 
     sample = training_rows(docs, per_language).select("key", "lang", "text")
-    found = sorted(by_batches(sample, bits, "key long, lang string, row binary").collect())
+    found = sorted(sample.mapInArrow(bits, "key long, lang string, row binary").collect())
     languages = sorted({r["lang"] for r in found})
     if not found:
         return Model([], np.zeros(((1 << BITS) + 1, 0), np.float32))
@@ -143,7 +143,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch, texts in batches(source):
             yield arrow(schema, [batch.column("doc_id").to_pylist(), *model.predict(texts, grams)])
 
-    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, "doc_id long, lang_pred string, score double")
+    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def recognised(docs: DataFrame, model: Model, *, least: float) -> DataFrame:
@@ -155,7 +155,7 @@ def recognised(docs: DataFrame, model: Model, *, least: float) -> DataFrame:
             predicted, scores = model.predict(texts, grams)
             yield batch.filter(pa.array([p != UNKNOWN and s >= least for p, s in zip(predicted, scores)], pa.bool_()))
 
-    return by_batches(docs, run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def predictions(docs: DataFrame) -> DataFrame:

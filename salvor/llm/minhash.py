@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, batches, by_batches, staged, table
+from salvor.llm.common import arrow, batches, staged, table
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -123,7 +123,7 @@ def signatures(docs: DataFrame, *, words: int, bands: int, rows: int, weighted:
                 buckets = [b if s else [] for b, s in zip(bucket.view(np.int64).tolist(), some)]
                 yield arrow(schema, [ids[at : at + 64], [d for _, _, d in found], buckets, [s.tobytes() for s in sig], [float(c.sum()) for c in sizes]])
 
-    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, "doc_id long, copy string, bands array<long>, sig binary, size double")
+    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id long, copy string, bands array<long>, sig binary, size double")
 
 
 def _agreeing(k: int, similarity: float) -> float:
@@ -170,7 +170,7 @@ def exact_sets(docs: DataFrame, nodes: DataFrame, *, words: int, weighted: bool)
                 found.append(elements.tobytes())
             yield arrow(schema, [batch.column("doc_id").to_pylist(), found])
 
-    shingled = by_batches(picked.selectExpr("cast(doc_id as bigint) doc_id", "text"), sets, "node long, elements binary")
+    shingled = picked.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(sets, "node long, elements binary")
     return staged(shingled, "shingles")
 
 

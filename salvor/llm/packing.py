@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, batches, by_batches, staged, table
+from salvor.llm.common import arrow, batches, few_rows, staged, table
 
 LENGTH = 2048
 END_ID = 1
@@ -180,7 +180,8 @@ def pack(docs: DataFrame, path: str, *, length: int = LENGTH, open_windows: int
             yield batch_of(rest, True)
 
     ready = docs.selectExpr("cast(doc_id as bigint) doc_id", "text")
-    first = staged(by_batches(ready, run, f"{PIECE}, open boolean"), "packed")
+    with few_rows(docs.sparkSession):
+        first = staged(ready.mapInArrow(run, f"{PIECE}, open boolean"), "packed")
     left = first.filter("open").drop("open")
     groups = -(-left.select("sequence_id").distinct().count() // MERGED_TOGETHER) or 1
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, batches, by_batches, key60, table
+from salvor.llm.common import arrow, batches, key60, table
 
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 24  # atoms of an entity
@@ -240,7 +240,7 @@ def fit(docs: DataFrame, *, documents: int = TRAIN_DOCUMENTS, rounds: int = 60)
             found = [t[a:b] for t in texts for a, b in islands(t) if b - a <= TRAIN_ISLAND]
             yield arrow(pa.schema([("island", pa.string())]), [found])
 
-    sample = by_batches(docs.filter(F.col("doc_id").isin(chosen)).select("text"), short, "island string")
+    sample = docs.filter(F.col("doc_id").isin(chosen)).select("text").mapInArrow(short, "island string")
     # Distinct shapes, digits kept: at most this many short strings reach the driver.
     texts = [r["island"] for r in sample.distinct().orderBy(F.md5("island")).limit(3 * documents).collect()]
     cases = [Case(*case) for text in texts for case in variants(text)]
@@ -307,7 +307,7 @@ def find(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             yield arrow(schema, [batch.column("doc_id").to_pylist(), *map(list, zip(*rows))])
 
     shape = "doc_id long, " + ", ".join(f"{n} long" for n in names) + ", base_sha256 string, spans string"
-    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, shape)
+    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, shape)
 
 
 def query(spark, folder: str) -> DataFrame:

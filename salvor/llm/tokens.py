@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from salvor.llm.common import arrow, batches, by_batches, table
+from salvor.llm.common import arrow, batches, table
 
 UNKNOWN_PENALTY = 10.0
 KEPT_UNITS = 400_000
@@ -90,7 +90,7 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
             counted = [counter.text(t) for t in texts]
             yield arrow(schema, [batch.column("doc_id").to_pylist(), [c for c, _ in counted], [s for _, s in counted]])
 
-    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), count, "doc_id long, n_tokens long, score double")
+    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(count, "doc_id long, n_tokens long, score double")
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, staged, table
+from salvor.llm.common import arrow, setting, split_by_slots, staged, table
 from salvor.session import scratch
 
 # Fixed values of the format.
@@ -31,6 +31,7 @@ BYTES_A_FILE = 64 << 20
 # More than the fixed headers of a record take.
 HEADER_BYTES = 1024
 OPEN_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 RECORD = "archive string, start long, size long, record_id string, record_type string, uri string, page_id long, refers_to long, payload_bytes long, payload_digest string, payload binary, http_headers binary"
 GAP = "archive string, start long, size long, reason string"
 
@@ -47,16 +48,20 @@ def page_records(pages: DataFrame, *, least_bytes: int = 0) -> DataFrame:
     """page_id, url, html with digest, record type and the page that a revisit refers to.
 
     Payloads are equal when SHA-256 and length are. Groups are added up map-side to one row, so a
-    hot payload is one row in the lookup; the join of the pages to it is split by AQE where a
-    digest is skewed.
+    hot payload is one row in the lookup of repeated payloads, which is made first, from digests alone. The pages whose
+    digest falls in a hash slot that no repeated payload uses are written where they are read; only the others
+    meet the lookup, in a join that AQE splits where a digest is skewed.
     """
     # Encoded and decoded once, so that the bytes hashed are those written.
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     body = F.encode("html", "UTF-8")
-    rows = rows.withColumn("payload_bytes", F.octet_length("html").cast("bigint")).withColumn("payload_digest", base32(F.sha1(body))).withColumn("same", F.sha2(body, 256))
+    rows = rows.withColumn("payload_bytes", F.octet_length("html").cast("bigint")).withColumn("same", F.sha2(body, 256))
     first = rows.filter(F.col("payload_bytes") >= least_bytes).groupBy("same", "payload_bytes").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
-    first = first.filter("copies > 1").drop("copies")
-    joined = rows.join(first, ["same", "payload_bytes"], "left")
+    first = staged(first.filter("copies > 1").drop("copies"), "warc-repeated")
+    alone, shared = split_by_slots(rows, F.col("same"), first.select("same"))
+    alone = alone.withColumn("first_id", F.lit(None).cast(pages.schema["page_id"].dataType))
+    shared = shared.join(first, ["same", "payload_bytes"], "left")
+    joined = alone.unionByName(shared).withColumn("payload_digest", base32(F.sha1(body)))
     # A missing id cannot be referred to by a record of its own; it revisits where another id exists.
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return joined.select(
@@ -116,17 +121,13 @@ def write_archives(records: DataFrame, path: str, *, records_a_file: int = RECOR
     Each task numbers its own records by running sums; only the sizes go through Python. The writer holds
     some files open at once and so needs no sort by number.
     """
-    conf = records.sparkSession.conf
+    spark = records.sparkSession
     block = F.when(F.col("record_type") == "revisit", 0).otherwise(F.col("payload_bytes"))
     size = (block + F.coalesce(F.octet_length("url"), F.lit(0)) + HEADER_BYTES).cast("bigint")
     text = records.select(record_text(records).alias("value"), _numbers(records_a_file, bytes_a_file)(size).alias("file"))
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "128")
-    before = conf.get(OPEN_WRITERS)
-    conf.set(OPEN_WRITERS, "64")
-    try:
+    # Whole rows wait while their sizes are away.
+    with setting(spark, BATCH, "128"), setting(spark, OPEN_WRITERS, "64"):
         text.write.partitionBy("file").option("lineSep", RECORD_END).text(path)
-    finally:
-        conf.set(OPEN_WRITERS, before)
 
 
 class Damaged(ValueError):
@@ -290,7 +291,6 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = False)
     of a revisit; ``http_headers`` is what an HTTP message has before its payload. Empty archives give nothing.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     schema = pa.schema(
         [("archive", pa.string()), ("start", pa.int64()), ("size", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()), ("uri", pa.string()),
          ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()), ("http_headers", pa.binary()), ("reason", pa.string())]
@@ -318,7 +318,8 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = False)
                     yield arrow(schema, list(zip(*rows)))
 
     everything = files.mapInArrow(read, RECORD + ", reason string")
-    everything = staged(everything, "warc-read")
+    with setting(spark, BATCH, "1"):  # archives
+        everything = staged(everything, "warc-read")
     return everything.filter("reason is null").drop("reason"), everything.filter("reason is not null").select("archive", "start", "size", "reason")
 
 
