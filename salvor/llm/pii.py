@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +17,7 @@ from salvor.llm.common import arrow, batches, key60, table
 
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 24  # atoms of an entity
+MOST_DIGITS = 19  # of an entity without an at sign
 TRAIN_DOCUMENTS = 600
 TRAIN_ISLAND = 240  # characters of an island used to fit
 LEAST_SCORE = 3.0  # log odds of an added span against leaving it out
@@ -26,10 +29,13 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 HOT = re.compile(r"[0-9@]|[\[(<]at[\])>]")
+SIGN = re.compile(r"[\[(<]at[\])>]")
 ATOM = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]", re.S)
 # Signs of entities; a run of them with a digit or an at sign, also a spelled one, is an island, with the next ones after one space.
 RUN = re.compile(r"[\w.%+@()\[\]<>-]+", re.A)
-BEFORE = 60  # characters before an island where a spelled at sign is near
+# What may stand before and behind an island that holds a spelled at sign.
+LOCAL_BEFORE = re.compile(r"[\w.%+-]+ ?\Z", re.A)
+DOMAIN_BEHIND = re.compile(r"(?: ?[\w.-]+)?(?: ?(?:\.|[\[(<]dot[\])>]) ?[\w-]+)*", re.A)
 SPAN = tuple[int, int, int]  # kind, start, end
 
 
@@ -95,30 +101,48 @@ NAMES = (
     "starts_alnum", "ends_alnum", "area_exchange_line", "one_digit_run", "spelled_at",
 )
 GROUPED = re.compile(r"(?:\+?[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}")
-SPELLED = re.compile(r"[\w.%+-]+ ?[\[(<]at[\])>] ?[\w-]+(?:\.[\w-]+)+", re.A)
+SPELLED = re.compile(r"[\w.%+-]+ ?[\[(<]at[\])>] ?[\w-]+(?: ?(?:\.|[\[(<]dot[\])>]) ?[\w-]+)+", re.A)
 
 
 class Segments:
-    """Every candidate segment of an island: (first atom, end atom) with its whole-span features."""
+    """The candidate segments of an island, by atoms: at most LONGEST atoms, and MOST_DIGITS digits where no at sign is
+    written or spelled, from a letter, digit, plus sign or open bracket to a letter or digit, with a digit or an at sign
+    inside and no line end. Only the atoms are held; segments and features are made when they are used."""
 
     def __init__(self, text: str):
-        self.atoms = [(m.start(), m.end()) for m in ATOM.finditer(text)]
-        self.ends: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(len(self.atoms) + 1)]
-        n = len(self.atoms)
-        for first in range(n):
-            a = self.atoms[first][0]
-            if not (text[a].isalnum() or text[a] in "+(") or not text[a].isascii():
-                continue
-            hot = False
-            for end in range(first + 1, min(n, first + LONGEST) + 1):
-                lo, b = self.atoms[end - 1]
-                hot = hot or text[lo] == "@" or "0" <= text[lo] <= "9" or text[lo:b] == "at" and text[lo - 1 : lo] in ("[", "(", "<")
-                sign = text[lo]
-                if sign in "\n\t" or not sign.isascii():
-                    break
-                if not hot or not sign.isalnum():
-                    continue
-                self.ends[end].append((first, self.features(text, a, b)))
+        self.text = text
+        self.starts, self.stops = array("q"), array("q")
+        # Of each atom: may it start or end a segment, what does it add, does it break one.
+        self.opens, self.closes, self.hot, self.digits, self.breaks = bytearray(), bytearray(), bytearray(), array("q"), bytearray()
+        for m in ATOM.finditer(text):
+            lo, hi = m.span()
+            sign, ascii_ = text[lo], text[lo].isascii()
+            spelled = text[lo:hi] == "at" and text[lo - 1 : lo] in ("[", "(", "<")
+            self.starts.append(lo)
+            self.stops.append(hi)
+            self.opens.append(ascii_ and (sign.isalnum() or sign in "+("))
+            self.closes.append(ascii_ and sign.isalnum())
+            self.breaks.append(not ascii_ or sign in "\n\t")
+            self.digits.append(hi - lo if ascii_ and sign.isdigit() else 0)
+            self.hot.append(2 if sign == "@" or spelled else 1 if self.digits[-1] else 0)
+        self.n = len(self.starts)
+
+    def ending(self, end: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(first atom, features) of every segment that ends before atom ``end``, the shortest first."""
+        if not self.closes[end - 1]:
+            return
+        hot = digits = 0
+        for first in range(end - 1, max(0, end - LONGEST) - 1, -1):
+            if self.breaks[first]:
+                return
+            hot, digits = hot | self.hot[first], digits + self.digits[first]
+            if digits > MOST_DIGITS and hot < 2 and not self.sign_before(first):
+                return
+            if hot and self.opens[first]:
+                yield first, self.features(self.text, self.starts[first], self.stops[end - 1])
+
+    def sign_before(self, first: int) -> bool:
+        return any(h == 2 for h in self.hot[max(0, first - LONGEST) : first])
 
     @staticmethod
     def features(text: str, a: int, b: int) -> np.ndarray:
@@ -146,8 +170,8 @@ class Case:
 
     def __init__(self, text: str, spans: list[SPAN]):
         segments = Segments(text)
-        self.atoms = len(segments.atoms)
-        listed = [(first, end, f) for end, found in enumerate(segments.ends) for first, f in found]
+        self.atoms = segments.n
+        listed = [(first, end, f) for end in range(1, segments.n + 1) for first, f in segments.ending(end)]
         self.at = [(first, end) for first, end, _ in listed]
         self.features = np.array([f for _, _, f in listed]).reshape(len(listed), len(NAMES))
         by_end: list[list[int]] = [[] for _ in range(self.atoms + 1)]
@@ -157,7 +181,7 @@ class Case:
             by_start[first].append(i)
         self.by_end = [(np.array(x, int), np.array([self.at[i][0] for i in x], int)) for x in by_end]
         self.by_start = [(np.array(x, int), np.array([self.at[i][1] for i in x], int)) for x in by_start]
-        starts, ends = {x: i for i, (x, _) in enumerate(segments.atoms)}, {y: i + 1 for i, (_, y) in enumerate(segments.atoms)}
+        starts, ends = {x: i for i, x in enumerate(segments.starts)}, {y: i + 1 for i, y in enumerate(segments.stops)}
         place, self.gold, taken = {at: i for i, at in enumerate(self.at)}, [], 0
         for kind, x, y in sorted(spans, key=lambda span: (span[1], -span[2])):
             i = place.get((starts.get(x), ends.get(y)))
@@ -189,45 +213,50 @@ class Case:
 
 
 def decode(segments: Segments, weights: np.ndarray) -> list[tuple[int, int, int, float]]:
-    """The best segmentation: boundaries and kinds are chosen together. (kind, start, end, score)."""
-    n = len(segments.atoms)
-    best, back = [0.0] * (n + 1), [None] * (n + 1)
+    """The best segmentation: boundaries and kinds are chosen together. (kind, start, end, score). A step looks back
+    LONGEST atoms; only the best score up to each atom is held, and the segments that were best where they end."""
+    n = segments.n
+    best, back = array("d", bytes(8 * (n + 1))), {}
     for end in range(1, n + 1):
         best[end] = best[end - 1]
-        for first, f in segments.ends[end]:
+        for first, f in segments.ending(end):
             values = f @ weights
             kind = int(values.argmax())
             if best[first] + values[kind] > best[end]:
                 best[end], back[end] = best[first] + values[kind], (first, kind, float(values[kind]))
     found, end = [], n
     while end > 0:
-        if back[end] is None:
+        if end not in back:
             end -= 1
         else:
             first, kind, value = back[end]
-            found.append((kind, segments.atoms[first][0], segments.atoms[end - 1][1], value))
+            found.append((kind, segments.starts[first], segments.stops[end - 1], value))
             end = first
     return found[::-1]
 
 
 def variants(island: str) -> list[tuple[str, list[SPAN]]]:
     """The island with its base spans and, for its addresses and phones, the forms that the patterns miss:
-    a phone without the plus sign and country code, an address with its at sign spelled."""
+    a phone without the plus sign and country code, with brackets, hyphens, points or spaces; an address with its at
+    sign, or that and its points, spelled."""
     spans = base_spans(island)
     made = [(island, spans)]
     for kind, start, end in spans:
         span, left, right = island[start:end], island[:start], island[end:]
-        if kind == 3 and (m := re.fullmatch(r"\+[0-9]{1,3} (\([0-9]{3}\).*)", span)):
-            made.append((m[1], [(3, 0, len(m[1]))]))
-            made.append(("at " + m[1] + " on", [(3, 3, 3 + len(m[1]))]))
+        if kind == 3 and (m := re.fullmatch(r"\+[0-9]{1,3} \(([0-9]{3})\) ?([0-9]{3})[ .-]?([0-9]{4})", span)):
+            for phone in ("({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}"):
+                phone = phone.format(*m.groups())
+                made.append((phone, [(3, 0, len(phone))]))
+            made.append(("at " + phone + " on", [(3, 3, 3 + len(phone))]))
         if kind == 0 and not HOT.search(left + right):
-            for sign in (" [at] ", "[at]", " (at) "):
-                spelled = span.replace("@", sign)
+            for sign, point in ((" [at] ", "."), ("[at]", "."), (" (at) ", "."), (" (at) ", " (dot) "), ("[at]", "[dot]")):
+                local, _, domain = span.rpartition("@")
+                spelled = local + sign + domain.replace(".", point)
                 made.append((left + spelled + right, [(0, len(left), len(left) + len(spelled))]))
     return made
 
 
-def fit(docs: DataFrame, *, documents: int = TRAIN_DOCUMENTS, rounds: int = 60) -> np.ndarray:
+def fit(docs: DataFrame, *, documents: int = TRAIN_DOCUMENTS, rounds: int = 30) -> np.ndarray:
     """Weights (features x kinds) from islands of a bounded sample of documents with digits or at signs, and as many
     islands without a base span as there are. The base spans and the variants are the labels."""
     hot = docs.filter(F.col("text").rlike("[0-9@]")).select("doc_id", key60(F.lit("pii"), F.col("doc_id")).alias("key"))
@@ -251,38 +280,73 @@ def fit(docs: DataFrame, *, documents: int = TRAIN_DOCUMENTS, rounds: int = 60)
             slope = slope + case.slope(weights)
         slope /= max(1, len(cases))
         squares += slope * slope
-        weights = weights + 0.5 * slope / np.sqrt(squares)
+        weights = weights + slope / np.sqrt(squares)
     return weights
 
 
+class Taken:
+    """Spans and a quick test whether one overlaps a range: starts in order, and the furthest end up to each."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.furthest = [], []
+        for a, b in sorted(spans):
+            self.starts.append(a)
+            self.furthest.append(max(b, self.furthest[-1] if self.furthest else 0))
+
+    def overlaps(self, a: int, b: int) -> bool:
+        """A span that starts before ``b`` ends after ``a``."""
+        before = bisect_left(self.starts, b)
+        return before > 0 and self.furthest[before - 1] > a
+
+    def add(self, a: int, b: int) -> None:
+        """Add a span that overlaps none."""
+        at = bisect_left(self.starts, a)
+        self.starts.insert(at, a)
+        self.furthest.insert(at, max(b, self.furthest[at - 1] if at else 0))
+
+
 def added_spans(text: str, base: list[SPAN], weights: np.ndarray) -> list[SPAN]:
-    """Decoded spans with enough odds that touch no base span. An island inside a base span, or with
-    too few digits for any kind and no at sign near, holds nothing to add."""
+    """Decoded spans with enough odds that overlap no base span and no other added one. An island inside a base span,
+    or with fewer than four digits (no kind has so few) and no at sign, holds nothing to add. Where an at sign is spelled, the local
+    part before the island and the domain behind it are decoded with it, however long."""
     if not weights.any():
         return []
-    taken = sorted((a, b) for _, a, b in base)
+    taken = Taken([(a, b) for _, a, b in base])
+    inside = sorted((a, b) for _, a, b in base)
+    at, reach = 0, 0
     found: list[SPAN] = []
-    i = 0
     for a, b in islands(text):
-        while i < len(taken) and taken[i][1] <= a:
-            i += 1
-        j = i
-        while j < len(taken) and taken[j][0] < b:
-            j += 1
-        near = taken[max(0, i - 8) : j]
-        spelled = any(sign in text[max(0, a - 1) : b + 1] for sign in ("[at]", "(at)", "<at>"))
-        few = sum("0" <= c <= "9" for c in text[a:b]) < 7 and "@" not in text[a:b]
-        if any(c <= a and b <= d for c, d in near) or few and not spelled:
+        while at < len(inside) and inside[at][0] <= a:
+            reach = max(reach, inside[at][1])
+            at += 1
+        spelled = SIGN.search(text, a, b)
+        few = sum("0" <= c <= "9" for c in text[a:b]) < 4 and "@" not in text[a:b]
+        if reach >= b or few and not spelled:
             continue
-        low = max(0, a - BEFORE) if spelled else a
-        high = min(len(text), b + BEFORE) if spelled else b
+        low, high = a, b
+        if spelled:
+            line = max(text.rfind("\n", 0, a) + 1, before_runs(text, a))
+            if m := LOCAL_BEFORE.search(text, line, a):
+                low = m.start()
+            high = DOMAIN_BEHIND.match(text, b).end()
         for kind, c, d, value in decode(Segments(text[low:high]), weights):
             c, d = low + c, low + d
-            if value >= LEAST_SCORE and all(d <= x or y <= c for x, y in near) and all(d <= x or y <= c for _, x, y in found[-8:]):
+            if value >= LEAST_SCORE and not taken.overlaps(c, d):
                 found.append((kind, c, d))
+                taken.add(c, d)
     return found
 
 
+def before_runs(text: str, a: int) -> int:
+    """Where the run of word signs before ``a`` (a space may stand between) starts."""
+    at = a
+    if at and text[at - 1] == " ":
+        at -= 1
+    while at and text[at - 1].isascii() and (text[at - 1].isalnum() or text[at - 1] in "_.%+-"):
+        at -= 1
+    return at
+
+
 def joined(spans: list[SPAN]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
