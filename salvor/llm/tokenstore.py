@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, batches, bounded, table
+from salvor.llm.common import arrow, batches, bounded, few_rows, kept, staged, table
 from salvor.llm.packing import END_ID, WordIds
 from salvor.session import scratch
 
@@ -44,27 +44,33 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = END_ID, p
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, at = WordIds(tokenizer), TaskContext.get().partitionId(), 0
+        words, part, at = kept(("words", tokenizer), lambda: WordIds(tokenizer)), TaskContext.get().partitionId(), 0
         for batch, texts in batches(source):
-            made, ids = [], []
+            made, ids, ends = [], [], [0]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
-                encoded = np.frombuffer(words.text(text) + end, "<i4")
-                for first in range(0, len(encoded), piece_ids):
-                    made.append((part, at, doc_id, len(encoded), first))
-                    ids.append(encoded[first : first + piece_ids])
-                at += len(encoded)
-            yield arrow(schema, [*zip(*made), ids])
+                ids.append(words.text(text) + end)
+                n = len(ids[-1]) // 4
+                for first in range(0, n, piece_ids):
+                    made.append((part, at, doc_id, n, first))
+                    ends.append(ends[-1] + min(piece_ids, n - first))
+                at += n
+            values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
+            columns = [pa.array(c, t) for c, t in zip(zip(*made), schema.types)]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([*columns, lists], schema=schema)
 
     encoded = dealt.select("doc_id", "text").mapInArrow(encode, ROW)
-    (
+    writer = (
         encoded.write.option("compression", "zstd")
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", index_rows)
         .option("orc.stripe.size", stripe_bytes)
+        .option("orc.rows.between.memory.checks", index_rows)
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", false_positives)
-        .orc(path)
     )
+    with few_rows(docs.sparkSession):
+        writer.orc(path)
 
 
 def rows(spark: SparkSession, path: str) -> DataFrame:
@@ -108,6 +114,7 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
         return pd.Series([joined_crc(p) for p in pieces], dtype="int64")
 
     pieces = rows(spark, path).mapInArrow(digest, "part int, at long, doc_id long, n_tokens long, first long, length long, crc long")
+    pieces = staged(pieces, "token-digests")  # narrow, and read twice
     whole = pieces.filter("length = n_tokens").select("part", "at", "doc_id", "n_tokens", "crc")
     cut = pieces.filter("length < n_tokens").groupBy("part", "at", "doc_id", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("first", "length", "crc"))).alias("pieces"))
     found = whole.unionByName(cut.select("part", "at", "doc_id", "n_tokens", join("pieces").alias("crc")))
