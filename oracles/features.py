@@ -39,8 +39,8 @@ select s.claim_number, s.claim_date, year(s.claim_date) as claim_year, month(s.c
   coalesce(accident_type, 'Unknown') as accident_type, coalesce(accident_site, 'Unknown') as accident_site,
   coalesce(gender, 'Unknown') as gender, coalesce(vehicle_category, 'Unknown') as vehicle_category,
   coalesce(channel, 'Unknown') as channel,
-  lpad(cast(cast(coalesce(try_cast(zip_code as double), 0) as bigint) as varchar), 5, '0') as zip_code
-from s, art"""
+  case when length(zip_digits) < 5 then lpad(zip_digits, 5, '0') else zip_digits end as zip_code
+from (select *, cast(cast(coalesce(try_cast(zip_code as double), 0) as bigint) as varchar) as zip_digits from s) s, art"""
 
 AGED = """
 select *, case when claim_year is not null

@@ -109,6 +109,45 @@ _LABEL_STEPS = {
     ),
 }
 
+_LOGIT = ("liab_prct", "accident_key", "policy_report_filed_ind", "safety_rating", "liab_prct:safety_rating", "const")
+# Columns are scaled so that the normal equations are well conditioned; coefficients are of the scaled columns.
+_LOGIT_X = ("liab_prct / 100", "accident_key / 10.0", "policy_report_filed_ind * 1.0", "safety_rating / 100", "liab_prct * safety_rating / 10000", "1.0")
+
+
+def _eliminated(name: str, source: str, n: int) -> dict[str, str]:
+    """CTEs that solve sum(w x_i x_j) b_j = sum(w x_i z) by full elimination; the last has b0.. and the inverse's diagonal d0.."""
+    wide = 2 * n + 1  # matrix, right side, identity
+    cells = [f"sum(w * x{i} * x{j}) as m{i}_{j}" for i in range(n) for j in range(n)]
+    cells += [f"sum(w * x{i} * z) as m{i}_{n}" for i in range(n)]
+    cells += [f"{1.0 if i == j else 0.0}::double as m{i}_{n + 1 + j}" for i in range(n) for j in range(n)]
+    steps = {f"{name}_0": f"select {', '.join(cells)} from {source}"}
+    for p in range(n):
+        row = [f"m{p}_{j} / m{p}_{p} as m{p}_{j}" for j in range(wide)]
+        rest = [f"m{i}_{j} - m{i}_{p} * m{p}_{j} / m{p}_{p} as m{i}_{j}" for i in range(n) if i != p for j in range(wide)]
+        steps[f"{name}_{p + 1}"] = f"select {', '.join(row + rest)} from {name}_{p}"
+    solved = [f"m{i}_{n} as b{i}, m{i}_{n + 1 + i} as d{i}" for i in range(n)]
+    return steps | {name: f"select {', '.join(solved)} from {name}_{n}"}
+
+
+def _newton(steps: int = 9) -> dict[str, str]:
+    """Reweighted least squares from zero; nine steps are beyond the digits compared."""
+    n, x = len(_LOGIT), ", ".join(f"x{i}" for i in range(len(_LOGIT)))
+    ctes = {"b_start": "select " + ", ".join(f"0.0::double as b{i}" for i in range(n))}
+    before = "b_start"
+    for t in range(steps):
+        eta = " + ".join(f"b{i} * x{i}" for i in range(n))
+        ctes[f"r{t}"] = f"""select {x}, p * (1 - p) as w, eta + (y - p) / (p * (1 - p)) as z
+          from (select {x}, y, eta, 1 / (1 + exp(-eta)) as p from (select {x}, y, {eta} as eta from pts, {before}))"""
+        ctes |= _eliminated(f"b{t}_", f"r{t}", n)
+        before = f"b{t}_"
+    eta = " + ".join(f"b{i} * x{i}" for i in range(n))
+    ctes["fit"] = f"""select -2 * sum(y * eta - ln(1 + exp(eta))) as deviance, avg(y) as share, count(*) as n
+      from (select y, {eta} as eta from pts, {before})"""
+    ctes["pseudo"] = "select 1 - deviance / (-2 * n * (share * ln(share) + (1 - share) * ln(1 - share))) as pseudo_r2, n from fit"
+    rows = [f"select '{t}' as term, b{i} as coef, sqrt(d{i}) as std_err from {before}" for i, t in enumerate(_LOGIT)]
+    return ctes | {"terms": " union all ".join(rows)}
+
+
 HOLD = "(year(claim_date) = 2000 and month(claim_date) = 9)"
 
 
@@ -170,6 +209,20 @@ ORACLES = {
           round(r2, 9) as r2, n from r""",
         **_LABEL_STEPS,
     ),
+    "ml03_summary": over(
+        "claim vehicle",
+        """select term, abs(coef / std_err) > 1.96 as significant, abs(coef / std_err) > 3.2906 as strongly, n from r""",
+        **_LABEL_STEPS,
+    ),
+    "ml04": over(
+        "claim driver",
+        "select term, round(coef, 5) as coef, round(std_err, 5) as std_err, round(pseudo_r2, 7) as pseudo_r2, n from terms, pseudo",
+        pts=f"""select {', '.join(f'{x} as x{i}' for i, x in enumerate(_LOGIT_X))}, cast(subrogation as double) as y
+          from claim c join driver d on c.driver_key = d.driver_key
+          where subrogation is not null and liab_prct is not null and accident_key is not null
+            and policy_report_filed_ind is not null and safety_rating is not null""".replace("accident_key /", "c.accident_key /"),
+        **_newton(),
+    ),
     "mp06": over(
         "scored",
         """select cast(y as integer) as subrogation, 0 as synthetic, count(*) as n, 0 as outside from scored group by y

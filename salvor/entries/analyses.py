@@ -83,10 +83,13 @@ _FOUR = {
 }
 
 
+ANALYSES = sorted([*policyholders.SQL, *policyholders.PLANS])
+
+
 def _holder(s, name):
-    run = policyholders.run if name in policyholders.SQL else policyholders.insight
+    run = policyholders.run if name in ANALYSES else policyholders.insight
     digits = dict.fromkeys(_FOUR.get(name, ()), 4) | ({"gap_pct": 6} if name == "ins01" else {})
     return rounded(run(s.spark, name, s.claim, s.policyholder), **digits)
 
 
-QUERIES |= {n: partial(_holder, name=n) for n in (*policyholders.SQL, *policyholders.INSIGHTS)}
+QUERIES |= {n: partial(_holder, name=n) for n in (*ANALYSES, *policyholders.INSIGHTS)}
