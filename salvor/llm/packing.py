@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, batches, few_rows, staged, table
+from salvor.llm.common import arrow, batches, few_rows, kept, staged, table
 
 LENGTH = 2048
 END_ID = 1
@@ -161,7 +161,7 @@ def pack(docs: DataFrame, path: str, *, length: int = LENGTH, open_windows: int
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = kept(("words", path), lambda: WordIds(path))
         windows = Windows(length, open_windows, least_piece, TaskContext.get().partitionId() << 33)
 
         def batch_of(rows, still_open: bool) -> pa.RecordBatch:
