@@ -65,9 +65,21 @@ def thinned(docs: DataFrame, key: Column, decided: DataFrame) -> DataFrame:
     return away.select("doc.*").unionByName(met.select("doc.*"))
 
 
+ROWS_A_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def few_rows(spark: SparkSession):
-    """Fewer rows in an Arrow batch than Spark's default, for an eager pass that holds much besides."""
-    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Fewer rows in an Arrow batch than Spark's default, for the length of an eager pass over texts."""
+    return setting(spark, ROWS_A_BATCH, str(BATCH_ROWS))
+
+
+def by_batches(df: DataFrame, function, schema) -> DataFrame:
+    """mapInArrow over texts for a frame that runs later. A session that has Spark's default of 10,000 rows a batch gets
+    BATCH_ROWS from here on, as both sides hold a batch; a value of its own stays."""
+    conf = df.sparkSession.conf
+    if conf.get(ROWS_A_BATCH) == "10000":
+        conf.set(ROWS_A_BATCH, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
 
 
 @contextmanager

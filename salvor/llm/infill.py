@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from salvor.llm.common import arrow, table
+from salvor.llm.common import arrow, by_batches, table
 
 SEED = 42
 # Fixed values of the contract: sentinels, and percentages of texts changed and of those in suffix-first form.
@@ -129,7 +129,7 @@ def fill_in_middle(docs: DataFrame, *, seed: int = SEED, percent: int = CHANGED_
             made = [changed(t, i, seed, percent, suffix_first) for i, t in zip(ids, _texts(batch.column("text")))]
             yield arrow(schema, [ids, *(zip(*made) if made else ((),) * 5)])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, MADE)
+    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, MADE)
 
 
 def restore(made: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def restore(made: DataFrame) -> DataFrame:
                 texts.append(bytes(body))
             yield batch.append_column("restored", pa.array(texts, pa.string()))
 
-    return made.mapInArrow(run, schema)
+    return by_batches(made, run, schema)
 
 
 def query(spark, folder: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, batches, key60, remainder4, table
+from salvor.llm.common import arrow, batches, by_batches, key60, remainder4, table
 
 BITS = 15
 LONGEST = 4
@@ -17,10 +17,12 @@ LANDMARKS = 256
 TRAIN_ROWS = 500  # of each language
 RIDGE = 1e-2
 UNKNOWN = "und"
+MOST_LANGUAGES = 512  # values of lang that are learned, the most frequent first; a column of free text has millions
 
 
 class Grams:
-    """Presence of letter n-grams, n = 1 to LONGEST, in 2^BITS hashed places. All but letters is a space."""
+    """Presence of letter n-grams, n = 1 to LONGEST, in 2^BITS hashed places. All but letters is a space. Grams that share a
+    place count as one; four languages fill about a quarter of the places, many scripts would want more BITS."""
 
     def __init__(self):
         codes = range(0x10000)
@@ -59,11 +61,11 @@ class Grams:
 
 
 def training_rows(docs: DataFrame, per_language: int) -> DataFrame:
-    """Up to ``per_language`` rows of each language, those with the smallest hash keys. A share by
-    hash first leaves about twice as many, so that no window sees a whole language."""
+    """Up to ``per_language`` rows of each of the MOST_LANGUAGES most frequent languages, those with the smallest hash keys. A
+    share by hash first leaves about twice as many, so that no window sees a whole language."""
     usable = (remainder4(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     rows = docs.select("doc_id", "lang", "text").filter(usable).withColumn("key", key60(F.lit("langid"), F.col("doc_id")))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
     if not counts:
         return rows.limit(0)
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, (2 * per_language + 100) / r["n"]))])
@@ -143,7 +145,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch, texts in batches(source):
             yield arrow(schema, [batch.column("doc_id").to_pylist(), *model.predict(texts, grams)])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, "doc_id long, lang_pred string, score double")
 
 
 def recognised(docs: DataFrame, model: Model, *, least: float) -> DataFrame:
@@ -155,7 +157,7 @@ def recognised(docs: DataFrame, model: Model, *, least: float) -> DataFrame:
             predicted, scores = model.predict(texts, grams)
             yield batch.filter(pa.array([p != UNKNOWN and s >= least for p, s in zip(predicted, scores)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return by_batches(docs, run, docs.schema)
 
 
 def predictions(docs: DataFrame) -> DataFrame:

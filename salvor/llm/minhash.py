@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salvor.llm.common import arrow, batches, staged, table
+from salvor.llm.common import arrow, batches, by_batches, staged, table, thinned
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -123,7 +123,7 @@ def signatures(docs: DataFrame, *, words: int, bands: int, rows: int, weighted:
                 buckets = [b if s else [] for b, s in zip(bucket.view(np.int64).tolist(), some)]
                 yield arrow(schema, [ids[at : at + 64], [d for _, _, d in found], buckets, [s.tobytes() for s in sig], [float(c.sum()) for c in sizes]])
 
-    return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, "doc_id long, copy string, bands array<long>, sig binary, size double")
+    return by_batches(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), run, "doc_id long, copy string, bands array<long>, sig binary, size double")
 
 
 def _agreeing(k: int, similarity: float) -> float:
@@ -170,7 +170,7 @@ def exact_sets(docs: DataFrame, nodes: DataFrame, *, words: int, weighted: bool)
                 found.append(elements.tobytes())
             yield arrow(schema, [batch.column("doc_id").to_pylist(), found])
 
-    shingled = picked.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(sets, "node long, elements binary")
+    shingled = by_batches(picked.selectExpr("cast(doc_id as bigint) doc_id", "text"), sets, "node long, elements binary")
     return staged(shingled, "shingles")
 
 
@@ -378,9 +378,22 @@ def near_duplicates(docs: DataFrame, *, words: int = WORDS, similarity: float =
 
 
 def keep_classes(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are the smallest of their class, all columns as they are; those without an id stay."""
-    gone = near_duplicates(docs, **options).filter("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each class, all columns as they are: the row of the smallest id, missing ids last, equal ones by text.
+
+    Classes are found over rows, not ids: a row is named by a 64-bit hash of its id and text, so rows of one id with
+    different texts are documents of their own (two rows share a name with a chance of 2^-64). Of rows equal in
+    both one stays. Only rows that repeat or lie in a hash slot of a row that goes are shuffled with their texts.
+    """
+    name = F.xxhash64(docs["doc_id"], docs["text"])
+    named = docs.select(name.alias("row"), F.col("doc_id").cast("bigint").alias("id"), "text")
+    classes = near_duplicates(named.select(F.col("row").alias("doc_id"), "text"), **options)
+    rows = staged(named.groupBy("row").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "near-rows")
+    found = rows.join(classes.select(F.col("doc_id").alias("row"), "class_id").distinct(), "row")
+    rank = F.struct(F.col("id").isNull(), "id", "row")
+    heads = found.groupBy("class_id").agg(F.min(rank).alias("head"))
+    decided = found.join(heads, "class_id").select(F.col("row").alias("key"), (F.col("head.row") == F.col("row")).alias("keep"), "copies")
+    decided = staged(decided.filter("not keep or copies > 1").drop("copies"), "near-decided")
+    return thinned(docs, name, decided)
 
 
 def query(spark, folder: str) -> DataFrame:
