@@ -176,13 +176,6 @@ ORACLES = {
     "ml12": f"""select trial, round(step, 9) as stepSize, depth as maxDepth, least as minInstancesPerNode,
       round(share, 9) as subsamplingRate, true as within, true as sorted, true as learns, true as waited
       from (values {_drawn()}) t(trial, step, depth, least, share)""",
-    "ml_run": over(
-        "scored",
-        f"""select stage, n, true as holds from (
-          select unnest(['search', 'boosted', 'oof', 'test', 'weights', 'threshold', 'metrics', 'classes', 'predictions', 'report']) as stage,
-                 unnest([20, 5, count(*) filter (where not {HOLD}), count(*) filter (where {HOLD}), 1, 1, 1, 5,
-                         count(*) filter (where {HOLD}), 12]) as n from scored)""",
-    ),
     "mp06_neighbours": over(
         "scored",
         """select claim_number, cast(unnest(range(1, 6)) as integer) as rank, round(unnest(near), 6) as distance
