@@ -3,6 +3,8 @@
 import re
 from datetime import datetime
 
+from salvor import schema as S
+from salvor.entries.basics import orphan_claims
 from salvor.sources.star import Star
 
 
@@ -62,3 +64,11 @@ def test_no_shuffle_of_the_wide_claims_carries_derived_text(spark):
     for i in windows:
         below = " ".join(text.splitlines()[i + 1 : i + 2])
         assert not re.search(r"AS (claim_day_of_week|channel|zip_code|witness_present_ind|in_network_bodyshop|_seen)#", below), below
+
+
+def test_orphans_of_every_dimension(spark):
+    lines = [(k, 1, v, d, 1.0, 1.0, 0.0, "R", "F", DAY) for k, v, d in ((11, 1, 7), (2, 9, 7), (3, 1, 8), (4, 50, 7), (5, 1, 7))]
+    found = orphan_claims(star_of(spark, lines, (1, 50)))
+    assert {(r["claim_number"], r["dimension"]) for r in found.collect()} == {
+        (111, "accident"), (21, "vehicle"), (31, "driver"), (41, "vehicle")}
+    assert set(found.columns) == {"claim_number", *S.DIMENSION_KEYS.values(), "dimension"}
