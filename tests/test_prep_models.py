@@ -200,3 +200,9 @@ def test_small_ensemble(star):
     r = row.first()
     assert sum(r[f"w_{m.name}"] for m in models) == pytest.approx(1.0)
     assert r["oof_auc"] > 0.6 and predictions.count() == test.count()
+
+
+def test_slices_follow_the_widest_side():
+    assert M.slices([100.0, 1.0, 0.0], 8) == [8, 1, 1]
+    assert M.slices([10.0, 10.0], 16) == [4, 4]
+    assert M.slices([0.0, 0.0], 16) == [1, 1]
