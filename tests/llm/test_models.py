@@ -68,6 +68,25 @@ def test_quality_weights_are_the_optimum_of_the_pairwise_loss(spark, docs):
     assert model["cut"] == pytest.approx(np.quantile(z @ w, (y == 0).mean()))
 
 
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    """Many buckets, a rare label, and no more rows of a label than TRAIN_ROWS before."""
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 20)
+    monkeypatch.setattr(quality, "BUCKET_ROWS", 64)
+    docs = spark.range(600).selectExpr("id as doc_id", "concat(repeat('good words here. ', 3 + id % 7), if(id % 10 = 0, '| 7 |', '')) as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 10 <> 0 as int) as quality")
+    features = quality.measured(docs)
+    x, y = quality.measured_sample(docs, labels, 10_000)
+    model = quality.fit_measured(features, labels)
+    assert np.allclose(model["centre"], x.mean(axis=0)) and len(y) > 400
+    rows = quality.labelled(features, labels)
+    buckets = quality.dealt(rows, quality._sizes(rows)).toPandas()
+    own = np.concatenate([np.frombuffer(b, bool) for b in buckets["own"]])
+    assert own.sum() == len(y) and len(buckets) == -(-len(y) // 64)
+    assert all(set(np.frombuffer(b)) == {0.0, 1.0} for b in buckets["y"])
+    raw = (quality._expanded(x, model["centre"], model["scale"]) * model["weight"]).sum(axis=1)
+    assert model["cut"] == pytest.approx(np.quantile(raw, (y == 0).mean()))
+
+
 def test_quality_of_unseen_documents(spark, docs):
     labels = table(spark, FOLDER, "labels").filter(remainder4(F.col("doc_id")) == 2)
     found = quality.query(spark, FOLDER).join(labels, "doc_id")
