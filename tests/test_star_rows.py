@@ -72,3 +72,27 @@ def test_orphans_of_every_dimension(spark):
     assert {(r["claim_number"], r["dimension"]) for r in found.collect()} == {
         (111, "accident"), (21, "vehicle"), (31, "driver"), (41, "vehicle")}
     assert set(found.columns) == {"claim_number", *S.DIMENSION_KEYS.values(), "dimension"}
+
+
+def test_lines_of_one_order_are_picked_without_a_shuffle_by_number(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = star_of(spark, LINES).claim._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"Window \[row_number.*\[l_orderkey#\d+L, claim_number#\d+L\]", text)
+    assert not re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L, claim_number", text)
+
+
+def test_numbers_shared_within_and_between_orders(spark):
+    lines = [
+        (1, 12, 4, 7, 1.0, 10.0, 0.0, "R", "F", DAY), (2, 2, 3, 7, 1.0, 11.0, 0.0, "R", "F", DAY),  # 22 twice
+        (5, 3, 2, 7, 1.0, 12.0, 0.0, "R", "F", DAY), (5, 3, 1, 7, 1.0, 13.0, 0.0, "R", "F", DAY),  # 53 twice
+        (7, -2, 1, 7, 1.0, 14.0, 0.0, "R", "F", DAY), (6, 8, 2, 7, 1.0, 15.0, 0.0, "R", "F", DAY),  # 68 twice
+        (None, 4, 1, 7, 1.0, 16.0, 0.0, "R", "F", DAY), (9, 0, 1, 7, 1.0, 17.0, 0.0, "R", "F", DAY),
+    ]
+    s = star_of(spark, [line for line in lines if line[0]])
+    s.tables["lineitem"] = s.tables["lineitem"].unionByName(spark.createDataFrame([lines[6]], s.tables["lineitem"].schema))
+    s.tables["orders"] = s.tables["orders"].unionByName(s.tables["orders"].filter("o_orderkey = 9"))  # an order twice
+    got = {r["claim_number"]: r["claim_est_payout"] for r in s.claim.collect()}
+    assert got == {22: 11.0, 53: 13.0, 68: 14.0, 90: 17.0} and s.claim.count() == 4
