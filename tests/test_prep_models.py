@@ -206,3 +206,41 @@ def test_slices_follow_the_widest_side():
     assert M.slices([100.0, 1.0, 0.0], 8) == [8, 1, 1]
     assert M.slices([10.0, 10.0], 16) == [4, 4]
     assert M.slices([0.0, 0.0], 16) == [1, 1]
+
+
+def test_folds_share_one_search(spark, monkeypatch):
+    """Points of three folds, two columns of their own in each: neighbours are those of each fold alone, and a point goes
+    through the tiles once."""
+    monkeypatch.setattr(M, "TILE", 60)
+    monkeypatch.setattr(M, "VISITORS", 50)
+    rng = np.random.default_rng(4)
+    n, folds, sizes = 700, 3, []
+    x = np.column_stack([rng.integers(0, 4, n) * 20.0, rng.normal(0, 50, n), rng.exponential(30, n)])
+    x[:200] = x[0]
+    te, member = rng.normal(0, 3, (n, folds, 2)), np.arange(n)[:, None] % folds != np.arange(folds)
+    member[650:, 1] = False
+    rows = [(7, i, x[i].tolist(), te[i].ravel().tolist(), member[i].tolist()) for i in range(n)]
+    points = spark.createDataFrame(rows, "group int, key long, v array<double>, te array<double>, member array<boolean>")
+    keep = M.stored
+    monkeypatch.setattr(M, "stored", lambda df: sizes.append(keep(df)) or sizes[-1])
+    found = M.neighbours(points, [0, 1, 2], 4).toPandas().sort_values(["group", "key", "rank"])
+    assert max(s.count() for s in sizes if "v" in s.columns) == n
+    for f in range(folds):
+        at = np.nonzero(member[:, f])[0]
+        seen = np.concatenate([x[at], te[at, f]], axis=1)
+        d = np.sqrt(((seen[:, None, :] - seen[None]) ** 2).sum(2))
+        np.fill_diagonal(d, np.inf)
+        own = found[found["group"] == f]
+        assert (own["key"].to_numpy().reshape(len(at), 4)[:, 0] == at).all()
+        assert np.allclose(own["distance"].to_numpy().reshape(len(at), 4), np.sort(d, axis=1)[:, :4], atol=1e-9)
+
+
+def test_new_points_of_a_fold_lie_between_its_members(spark):
+    n = 40
+    rows = [(1, i, [float(i)], [10.0 * i, -10.0 * i], [i < 30, i >= 10]) for i in range(n)]
+    points = spark.createDataFrame(rows, "group int, key long, v array<double>, te array<double>, member array<boolean>")
+    made = M.synthetic_points(points, {0: (30, 50), 1: (30, 7)}).toPandas()
+    assert made.groupby("group").size().to_dict() == {0: 50, 1: 7}
+    for group, x in zip(made["group"], made["x"]):
+        assert 0 <= x[0] <= 29 if group == 0 else 10 <= x[0] <= 39
+        assert np.isclose(x[1], (10 if group == 0 else -10) * x[0])
