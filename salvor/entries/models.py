@@ -45,15 +45,21 @@ def _categories(s):
 
 def target_encoded(s):
     columns = ["accident_type", "accident_site", "zip3", "accident_combo"]
-    train, test = P.hold_out_split(_categories(s), *HOLD_OUT)
+    train, test = P.hold_out_split(stored(_categories(s)), *HOLD_OUT)
     parts = P.target_encode(train, [train, test], columns)
     both = parts[0].unionByName(parts[1])
     return both.select("claim_number", *[F.round(f"{c}_te", 9).alias(f"{c}_te") for c in columns])
 
 
+def _colours_and_channels(s):
+    """The columns of the wide claims that the codes come from and go to, stored: fits and lookups read them, and the claims are
+    joined once."""
+    return stored(s.wide.select("claim_number", "claim_date", "subrogation", "vehicle_color", "channel"))
+
+
 def label_encoded(s):
     """Codes fitted on months before the hold-out month; the claim's day of week and colour."""
-    train, test = P.hold_out_split(s.wide, *HOLD_OUT)
+    train, test = P.hold_out_split(_colours_and_channels(s), *HOLD_OUT)
     colours = P.label_codes([train, test], "vehicle_color")
     channels = P.label_codes([train.filter("channel <> 'Phone'")], "channel")
     coded = P.label_encode(test.select("claim_number", "vehicle_color", "channel"), colours, "vehicle_color")
@@ -63,7 +69,7 @@ def label_encoded(s):
 def label_encoded_all(s):
     """Codes of every claim of both parts: colours fitted on both, channels on the training part. Some channels to
     encode are missing or respelled."""
-    train, test = P.hold_out_split(s.wide, *HOLD_OUT)
+    train, test = P.hold_out_split(_colours_and_channels(s), *HOLD_OUT)
     colours = P.label_codes([train, test], "vehicle_color")
     channels = P.label_codes([train], "channel")
     both = train.unionByName(test).select("claim_number", "vehicle_color", missed("channel", F.lower("channel")).alias("channel"))
