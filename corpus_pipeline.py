@@ -8,6 +8,8 @@ from salvor.llm import dedup, langid, minhash, mixing, packing
 from salvor.llm.common import staged, table
 
 LEAST_LANGUAGE_SCORE = 0.3
+# Workers that ran the other stages have less room for words than those that only pack.
+KEPT_WORDS = 100_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids in sequences of 2048."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True, kept_words=KEPT_WORDS)
 
 
 STAGES = [("language", language), ("exact", exact), ("near", near), ("mix", mix), ("pack", pack)]

@@ -22,7 +22,7 @@ END_ID = 1
 OPEN_WINDOWS = 64
 LEAST_PIECE = 64
 MERGED_TOGETHER = 4096
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000  # words of a generation; a worker keeps two
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?").fullmatch
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -40,13 +40,15 @@ class WordIds(dict):
 
     No token crosses white space, so a text's ids are those of its words. A word of Latin letters
     goes through the same merges as ranks of bytes, with one more byte for the word's end;
-    any other word is encoded by the tokenizer itself."""
+    any other word is encoded by the tokenizer itself. Words of the last generation stay within reach, so frequent ones are
+    encoded once while rare ones go."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
         import tiktoken
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.most, self.before = kept_words, {}
         self.tokenizer = Tokenizer.from_file(path)
         signs, ranks = byte_signs(), {}
         with open(path, encoding="utf-8") as file:
@@ -59,14 +61,17 @@ class WordIds(dict):
         self.sign = {s: np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes() for s in ".,"}
 
     def __missing__(self, word: str) -> bytes:
-        if LETTERS(word):
+        if word in self.before:
+            ids = self.before[word]
+        elif LETTERS(word):
             tail = self.sign.get(word[-1], b"")
             found = self.fast.encode_ordinary((word[:-1] if tail else word).lower() + "\x01")
             ids = np.array(found, "<u4").tobytes() + tail
         else:
             ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= 40:
-            if len(self) >= KEPT_WORDS:
+            if len(self) >= self.most:
+                self.before = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -146,9 +151,9 @@ def merged(pieces: pd.DataFrame, length: int, first_id: int, keep: bool) -> pd.D
     return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
 
-def pack(docs: DataFrame, path: str, *, length: int = LENGTH, open_windows: int = OPEN_WINDOWS, least_piece: int = LEAST_PIECE, keep_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, path: str, *, length: int = LENGTH, open_windows: int = OPEN_WINDOWS, least_piece: int = LEAST_PIECE, keep_ids: bool = False, kept_words: int = KEPT_WORDS) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, with
-    ``keep_ids``, the ids as little-endian 32-bit numbers.
+    ``keep_ids``, the ids as little-endian 32-bit numbers. A worker keeps the ids of up to twice ``kept_words`` words.
 
     Tokenising and packing are one pass over the partitions of ``docs`` without a shuffle. Only the
     windows still open at a partition's end move: groups of about MERGED_TOGETHER of them are merged.
@@ -161,7 +166,7 @@ def pack(docs: DataFrame, path: str, *, length: int = LENGTH, open_windows: int
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = kept(("words", path), lambda: WordIds(path))
+        words = kept(("words", path, kept_words), lambda: WordIds(path, kept_words))
         windows = Windows(length, open_windows, least_piece, TaskContext.get().partitionId() << 33)
 
         def batch_of(rows, still_open: bool) -> pa.RecordBatch:
