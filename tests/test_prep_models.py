@@ -244,3 +244,9 @@ def test_new_points_of_a_fold_lie_between_its_members(spark):
     for group, x in zip(made["group"], made["x"]):
         assert 0 <= x[0] <= 29 if group == 0 else 10 <= x[0] <= 39
         assert np.isclose(x[1], (10 if group == 0 else -10) * x[0])
+
+
+def test_a_missing_value_leaves_its_block_without_new_points(spark):
+    rows = [(i, int(i < 20), float(i), None if i == 3 else 1.0) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, y int, a double, b double")
+    assert M.smote(df, "id", "y", ["a", "b"]).filter("synthetic = 1").count() == 0
