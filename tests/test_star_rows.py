@@ -96,3 +96,26 @@ def test_numbers_shared_within_and_between_orders(spark):
     s.tables["orders"] = s.tables["orders"].unionByName(s.tables["orders"].filter("o_orderkey = 9"))  # an order twice
     got = {r["claim_number"]: r["claim_est_payout"] for r in s.claim.collect()}
     assert got == {22: 11.0, 53: 13.0, 68: 14.0, 90: 17.0} and s.claim.count() == 4
+
+
+def test_shuffles_of_the_wide_claims_carry_stored_values_of_dimensions(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = star_of(spark, LINES).wide._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    below = " ".join(lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert not re.search(r"AS (annual_income|living_status|gender|safety_rating|vehicle_category|vehicle_mileage)#", below), below
+
+
+def test_claims_without_a_row_in_a_dimension_and_with_two(spark):
+    lines = [(k, 1, v, d, 1.0, 1.0, 0.0, "R", "F", DAY) for k, v, d in ((1, 1, 7), (2, 9, 8), (3, None, None))]
+    s = star_of(spark, lines)
+    s.tables["part"] = s.tables["part"].unionByName(spark.createDataFrame([(1, 5, None), (None, 6, "C")], s.tables["part"].schema))
+    got = sorted(
+        (r["claim_number"], r["gender"], r["vehicle_weight"], r["vehicle_category"], r["living_status"], r["annual_income"])
+        for r in s.wide.collect())
+    assert got == [(11, "M", 2700.0, "Medium", "Own", 32500.0), (11, "M", 2750.0, "Large", "Own", 32500.0),
+                   (21, None, None, None, "Own", 32500.0), (31, None, None, None, "Own", 32500.0)]
+    assert s.wide.schema["year_of_born"].dataType.simpleString() == "int"
