@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from salvor.operators import classify as K
 from salvor.operators import evaluate as V
-from salvor.operators.boost import FIT_ROWS
 from salvor.operators.sizes import beside
 
 C = F.col
@@ -44,7 +43,7 @@ def training_run(
     k: int = 5,
     trees: int = 1000,
     forest: int = 100,
-    fit_rows: int = FIT_ROWS,
+    fit_rows: int | None = None,
 ) -> dict[str, DataFrame]:
     """The tables of all STAGES by name.
 
