@@ -250,3 +250,14 @@ def test_a_missing_value_leaves_its_block_without_new_points(spark):
     rows = [(i, int(i < 20), float(i), None if i == 3 else 1.0) for i in range(100)]
     df = spark.createDataFrame(rows, "id long, y int, a double, b double")
     assert M.smote(df, "id", "y", ["a", "b"]).filter("synthetic = 1").count() == 0
+
+
+def test_new_rows_of_a_fold_have_its_encodings(spark):
+    """The encodings of column c in fold f are 100 f + c, so those of a synthetic row say which were taken."""
+    k, columns = 3, 4
+    te = [[100.0 * f + c for f in range(k)] for c in range(columns)]
+    rows = [(i, int(i % 6 == 0), i % k if i % 6 else (i // 6) % k, [float(i)], te) for i in range(240)]
+    data = spark.createDataFrame(rows, "claim_number long, subrogation int, fold int, x array<double>, te array<array<double>>")
+    made = K.oversampled(data, k, 0.5).collect()
+    assert {r["model"] for r in made} == set(range(k))
+    assert all(r["x"][1:] == [100.0 * r["model"] + c for c in range(columns)] for r in made)
