@@ -261,3 +261,17 @@ def test_new_rows_of_a_fold_have_its_encodings(spark):
     made = K.oversampled(data, k, 0.5).collect()
     assert {r["model"] for r in made} == set(range(k))
     assert all(r["x"][1:] == [100.0 * r["model"] + c for c in range(columns)] for r in made)
+
+
+def test_a_search_fits_all_rows(spark, monkeypatch):
+    """Every training part goes whole, with its fold to watch, and no sample is asked for."""
+    rng, asked = np.random.default_rng(7), []
+    x = rng.normal(size=5200)
+    rows = [(i, int(rng.random() < 1 / (1 + np.exp(-v))), float(v)) for i, v in enumerate(x)]
+    train = spark.createDataFrame(rows, "claim_number long, subrogation int, a double")
+    fit = K.fit_boosted
+    monkeypatch.setattr(K, "fit_boosted", lambda rows, jobs, **o: asked.append((rows.filter("not watch").count(), rows.filter("watch").count(), o)) or fit(rows, jobs, **o))
+    found = K.search_parameters(train, ["a"], trials=1, k=2, trees=2).first()
+    assert found["grown"] == 2.0 and 0 < found["mean_f1"] <= 1
+    # Labels are even, so no synthetic rows are wanted.
+    assert asked == [(5200, 5200, {"fit_rows": None})]
